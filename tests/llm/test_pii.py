@@ -1,0 +1,90 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import pii
+
+from .conftest import EDGES
+
+PLANTED = {
+    "email": ["the.72@mail3.example.com", "a_b+c@x-y.co.uk"], "ip": ["169.122.221.182", "8.8.8.8"], "phone": ["+1 (017) 555-7713", "+49 30 1234 5678", "212-555-0199"],
+    "ssn": ["123-45-6789"], "card": ["4111111111111111", "4495 5274 5634 0001"], "secret": ["b44e15e09fd311c3cf3163b66d5a9875b883d8ce"],
+    "name": ["Mr John Smith", "Anna Kowalska", "Иван Петров", "Frau Müller"],
+}
+
+
+def luhn(number):
+    digits = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10 == 0
+
+
+def shape(s):
+    return re.sub(r"\d", "9", s)
+
+
+def test_every_kind(docs_of):
+    texts = [f"zzz {e}, and again {e}." for es in PLANTED.values() for e in es]
+    got = {r["doc_id"]: r for r in pii.replace_pii(docs_of(texts)).collect()}
+    k = 0
+    for kind, es in PLANTED.items():
+        for e in es:
+            r = got[k]
+            first, second = r["_entities"]
+            assert first == second and first["kind"] == kind and first["entity"] == e, (e, r["_entities"])
+            new = first["surrogate"]
+            assert r["text"] == f"zzz {new}, and again {new}." and new != e
+            assert re.fullmatch(r"[^@\s]+@\w+\.example\.(com|org|net)", new) if kind == "email" else True
+            if kind in ("phone", "ssn", "card"):
+                assert shape(new) == shape(e)
+            if kind == "card":
+                assert luhn(new) == luhn(e)
+            if kind == "ip":
+                assert all(0 <= int(x) <= 255 for x in new.split("."))
+            if kind == "secret":
+                assert re.fullmatch(f"[0-9a-f]{{{len(e)}}}", new)
+            k += 1
+    by = {r["_entities"][0]["entity"]: r["_entities"][0]["surrogate"] for r in got.values()}
+    assert by["Anna Kowalska"].split()[0] in pii.FIRST["latin", "f"] and by["Mr John Smith"].split()[:2][1] in pii.FIRST["latin", "m"]
+    assert by["Mr John Smith"].startswith("Mr ") and re.fullmatch("[а-яА-Я]+ [а-яА-Я]+", by["Иван Петров"])
+
+
+def test_names_stay_distinct_and_coreferent(docs_of):
+    names = [f"Mr {c}{v}nder{w}" for c in "BCDFGHKLMN" for v in "aeiou" for w in "as"]
+    text = ". ".join([*names, "Mary Banderas", "Mr Banderas"])
+    r = pii.replace_pii(docs_of([text])).first()
+    table = {e["entity"]: e["surrogate"] for e in r["_entities"]}
+    assert len(set(table.values())) == len(table) and not set(table.values()) & set(table)
+    assert table["Mary Banderas"].split()[1] == table["Mr Banderas"].split()[1]
+
+
+def test_bijections(spark):
+    df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"), F.concat_ws(".", F.lit("10"), F.lit("0"), (F.col("id") / 256).cast("int"), (F.col("id") % 256).cast("string")).alias("ip"))
+    got = df.select(pii.new_digits("k", F.col("d"), "x").alias("a"), pii.new_ip("k", F.col("ip")).alias("b"))
+    assert got.select("a").distinct().count() == 1000 and got.where("a rlike '^[0-9]{3}$'").count() == 1000
+    assert got.select("b").distinct().count() == 1000
+
+
+def test_table_as_python_patterns(spark, small):
+    regex = pytest.importorskip("regex")
+    df, rows = small
+    out = {r["doc_id"]: r for r in pii.replace_pii(df).collect()}
+    pattern = regex.compile(pii.PATTERN.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}"), regex.V0)
+    for i, t in rows:
+        found = pattern.findall(t)
+        assert [e["entity"] for e in out[i]["_entities"]] == found
+        by = {e["entity"]: e["surrogate"] for e in out[i]["_entities"]}
+        assert out[i]["text"] == pattern.sub(lambda m: by[m[0]], t)
+    assert pii.collisions(pii.replace_pii(df)).where("kind <> 'name'").count() == 0
+
+
+def test_edges(docs_of):
+    df = docs_of([*EDGES, (None, "8.8.8.8"), (1, "8.8.8.8")])
+    out = pii.replace_pii(df)
+    assert out.columns == [*df.columns, "_entities"]
+    got = out.collect()
+    assert len(got) == len(EDGES) + 2
+    texts = [r["text"] for r in sorted((r for r in got if r["doc_id"] is not None and not r["_entities"]), key=lambda r: r["doc_id"])]
+    assert texts == EDGES
+    assert len({r["text"] for r in got if r["_entities"]}) == 1
+    assert pii.replace_pii(df.limit(0)).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding, simhash, substrings, toxicity
+from . import chat, decontam, mixing, pii, quality, rules, sharding, simhash, substrings, toxicity
 from .common import table
 
 
@@ -28,11 +28,29 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 0.8)
+
+
+def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), 2)
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", F.size("_entities").cast("long").alias("n_entities"), F.col("_entities.kind").alias("kinds"), F.col("_entities.surrogate").alias("surrogates"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.formatted(chat.planted(table(spark, sf_dir, "conversations"))))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digest(table(spark, sf_dir, "documents"), 13)
 
