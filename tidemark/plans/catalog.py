@@ -1,9 +1,727 @@
-"""Every query of the engine, with the SQL that checks it."""
+"""Every query of the engine over the shared tables, with the SQL that checks it.
 
+events play bars (ticker: user_id, price: value, identifier: event_type), a user's day plays a session, orders and
+lineitem are two deliveries of one fact, and nation to part are dimensions.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import predicates as P
+from ..functions import scalar as S
+from ..operators import asof, bars, calendar, contracts, dedupe, dimensions, factors, identity, intervals, lifecycle, masters, quality, reconcile, releases, semantics, sets
+from ..sources import planning, readers
+from ..streaming import events as stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def events(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "events").withColumn("day", F.to_date("ts"))
+
+
+def daily(spark: SparkSession, d: str) -> DataFrame:
+    """user_id, day, close and the last event's type: one row for each ticker and session."""
+    order = F.struct("ts", "event_id")
+    return events(spark, d).groupBy("user_id", "day").agg(F.max_by("value", order).alias("close"), F.max_by("event_type", order).alias("event_type"), F.count("*").alias("n"))
+
+
+DAILY = "(select user_id, cast(ts as date) as day, arg_max(value, (ts, event_id)) as close, arg_max(event_type, (ts, event_id)) as event_type, count(*) as n from events group by 1, 2)"
+SPINE = "(select day, row_number() over (order by day) as session_index from (select distinct cast(ts as date) as day from events))"
+RUNS = f"""(select user_id, event_type, run_no, min(session_index) as first_index, max(session_index) as last_index, count(*) as n_rows, min(day) as first_day, max(day) as last_day from (
+  select *, sum(is_new) over (partition by user_id order by session_index) as run_no from (
+    select *, case when lag(session_index) over w is null or lag(session_index) over w + 1 <> session_index or lag(event_type) over w is distinct from event_type then 1 else 0 end as is_new
+    from {DAILY} d join {SPINE} s using (day) window w as (partition by user_id order by session_index))) group by user_id, event_type, run_no)"""
+
+
+def indexed(spark: SparkSession, d: str) -> DataFrame:
+    rows = daily(spark, d)
+    return rows.join(F.broadcast(calendar.spine_of(events(spark, d), "day")), F.col("day") == F.col("session_date")).drop("session_date")
+
+
+def run_table(spark: SparkSession, d: str) -> DataFrame:
+    return intervals.runs(indexed(spark, d), ["user_id"], "session_index", ["event_type"], [F.min("day").alias("first_day"), F.max("day").alias("last_day")])
+
+
+# --- bars -----------------------------------------------------------------------------------------------------
+
+
+@query("""select user_id, cast(ts as date) as day, arg_min(value, (ts, event_id)) as open, max(value) as high, min(value) as low, arg_max(value, (ts, event_id)) as close, count(*) as n_bars
+  from events group by 1, 2""")
+def ohlc_by_user_day(spark, d):
+    return bars.ohlc(events(spark, d), ["user_id", "day"], "ts", "event_id", "value")
+
+
+@query("""select user_id, cast(ts as date) as day, arg_min(value, (ts, event_id)) as open, max(value) as high, min(value) as low, arg_max(value, (ts, event_id)) as close, count(*) as n_bars
+  from events where extract(hour from ts) * 60 + extract(minute from ts) >= 570 and extract(hour from ts) < 16 group by 1, 2""")
+def regular_hours_ohlc(spark, d):
+    rows = events(spark, d)
+    cal = rows.select(F.col("day").alias("session_date")).distinct()
+    at = lambda h: F.to_timestamp_ntz(F.concat(F.col("session_date").cast("string"), F.lit(h)))
+    cal = cal.withColumns({"open": at(" 09:30:00"), "close": at(" 16:00:00"), "start": at(" 00:00:00"), "end": at(" 00:00:00")})
+    return bars.ohlc(bars.with_session(rows, F.broadcast(cal), "day", "ts", regular=True), ["user_id", "day"], "ts", "event_id", "value")
+
+
+@query("""select sum(n) ::bigint as n_rows, count(*) as n_keys, sum(n - 1)::bigint as duplicate_excess, 0::bigint as l_orderkey_nulls, sum(q)::bigint as l_quantity_nulls
+  from (select l_orderkey, l_linenumber, count(*) as n, count(*) filter (where l_quantity is null) as q from lineitem group by 1, 2)""")
+def conversion_report(spark, d):
+    return bars.conversion_report(t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_quantity"])
+
+
+@query("""select cast(ts as date) as day, round(sum(cast(value as decimal(18,4)) * n_units) / sum(n_units), 6)::double as proxy_price, 'opening_half_hour_proxy' as label
+  from (select *, event_id % 7 + 1 as n_units from events) where extract(hour from ts) * 60 + extract(minute from ts) between 570 and 599 group by 1""")
+def proxy_opening_price(spark, d):
+    rows = events(spark, d).withColumn("units", F.col("event_id") % 7 + 1)
+    out = factors.proxy_vwap(rows, ["day"], F.hour("ts") * 60 + F.minute("ts"), "value", "units")
+    return out.withColumn("proxy_price", F.round("proxy_price", 6))
+
+
+# --- profiles, predicates, duplicates -------------------------------------------------------------------------
+
+
+@query("""select count(*) as n_rows, count(*) filter (where o_custkey is null) as o_custkey_nulls, count(*) filter (where o_orderstatus is null) as o_orderstatus_nulls,
+  count(distinct o_custkey) as o_custkey_distinct, count(distinct o_orderstatus) as o_orderstatus_distinct from orders""")
+def null_profile(spark, d):
+    return quality.null_profile(t(spark, d, "orders"), ["o_custkey", "o_orderstatus"])
+
+
+ISSUES = {"not_positive": P.sure(F.col("c_acctbal") <= 0), "odd_segment": F.col("c_mktsegment").isin("MACHINERY"), "untrimmed": ~S.is_trimmed_text("c_name")}
+
+
+@query("""select 'not_positive' as issue, count(*) filter (where c_acctbal <= 0) as n_rows from customer
+  union all select 'odd_segment', count(*) filter (where c_mktsegment = 'MACHINERY') from customer union all select 'untrimmed', count(*) filter (where c_name <> trim(c_name) or c_name = '') from customer""")
+def row_contract_violations(spark, d):
+    return quality.issue_counts(t(spark, d, "customer"), ISSUES)
+
+
+@query("""select c_custkey, concat_ws(',', case when c_acctbal <= 0 then 'not_positive' end, case when c_mktsegment = 'MACHINERY' then 'odd_segment' end) as issues
+  from customer where c_acctbal <= 0 or c_mktsegment = 'MACHINERY'""")
+def quarantine_split(spark, d):
+    _, bad = quality.quarantine(t(spark, d, "customer"), ISSUES)
+    return bad.select("c_custkey", F.array_join("issues", ",").alias("issues"))
+
+
+@query("""select count(*) filter (where n > 1) as duplicate_keys, coalesce(sum(n - 1) filter (where n > 1), 0)::bigint as duplicate_excess, count(*) filter (where n > 1 and k = 1) as exact_keys,
+  count(*) filter (where n > 1 and k > 1) as conflicting_keys from (select l_orderkey, l_linenumber, count(*) as n, count(distinct (l_partkey, l_suppkey, l_quantity)) as k from lineitem group by 1, 2)""")
+def duplicate_stats_lineitem(spark, d):
+    return dedupe.duplicate_stats(t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"])
+
+
+@query("select user_id, event_type, day, event_id, value from (select *, cast(ts as date) as day from events) qualify row_number() over (partition by user_id, event_type, day order by ts nulls last, event_id) = 1")
+def canonical_first_event(spark, d):
+    return dedupe.keep_first(events(spark, d), ["user_id", "event_type", "day"], ["ts", "event_id"]).select("user_id", "event_type", "day", "event_id", "value")
+
+
+@query("""with g as (select o_custkey, o_orderpriority, count(*) as n, count(distinct (o_orderstatus, o_totalprice, o_orderdate)) as kinds, count(distinct o_orderstatus) as ids, max(o_orderdate) as latest from orders group by 1, 2),
+  r as (select o.*, n, kinds, ids, latest, count(*) filter (where o_orderdate = latest) over (partition by o.o_custkey, o.o_orderpriority) as ties from orders o join g using (o_custkey, o_orderpriority)),
+  s as (select *, case when n = 1 then 'singleton' when kinds = 1 then 'resolved_exact_duplicate' when ids > 1 then 'unresolved_identity_conflict' when ties > 1 then 'unresolved_timestamp_tie' else 'resolved_unique_latest_last_updated' end as version_status from r)
+  select o_orderkey, version_status, case when version_status in ('singleton', 'resolved_exact_duplicate') then row_number() over (partition by o_custkey, o_orderpriority order by o_orderkey)
+    when version_status like 'resolved%' then row_number() over (partition by o_custkey, o_orderpriority order by o_orderdate desc, o_orderkey) end::int as version_rank from s""")
+def version_select_orders(spark, d):
+    out = dedupe.select_version(t(spark, d, "orders"), ["o_custkey", "o_orderpriority"], ["o_orderstatus"], ["o_orderstatus", "o_totalprice", "o_orderdate"], "o_orderdate", ["o_orderkey"], "o_orderkey")
+    return out.select("o_orderkey", "version_status", "version_rank")
+
+
+@query("""select o_custkey, concat_ws(',', case when count(distinct o_orderpriority) > 1 then 'o_orderpriority' end, case when count(distinct o_orderstatus) > 1 then 'o_orderstatus' end) as difference_fields
+  from orders group by 1""")
+def difference_fields(spark, d):
+    return dedupe.difference_fields(t(spark, d, "orders"), ["o_custkey"], ["o_orderstatus", "o_orderpriority"]).withColumn("difference_fields", F.array_join("difference_fields", ","))
+
+
+@query("select p_name, count(distinct p_brand) as n_values from part group by 1 having count(distinct p_brand) > 1")
+def conflicting_keys(spark, d):
+    return dedupe.conflicting_keys(t(spark, d, "part"), ["p_name"], ["p_brand"])
+
+
+@query("""select o_orderkey, case when o_orderkey % 7 = 0 then 'composite_figi_null' when o_orderkey % 7 = 1 then 'composite_figi_empty' when o_orderkey % 7 = 2 then 'composite_figi_whitespace_only'
+  when o_orderkey % 7 = 3 then 'composite_figi_surrounding_whitespace' when o_orderkey % 7 = 4 and o_orderkey < 10 then 'composite_figi_length_not_12' when o_orderkey % 7 = 4 then null
+  when o_orderkey % 7 = 5 then 'composite_figi_non_upper_ascii_alnum' else 'composite_figi_prefix_not_BBG' end as reason from orders where o_orderkey < 9000""")
+def figi_reasons(spark, d):
+    k = F.col("o_orderkey") % 7
+    padded = F.lpad(F.col("o_orderkey").cast("string"), 9, "0")
+    made = F.when(k == 1, "").when(k == 2, " 　").when(k == 3, " BBG").when((k == 4) & (F.col("o_orderkey") < 10), "BBG1").when(k == 4, F.concat(F.lit("BBG"), padded)).when(k == 5, "bbg000000001").when(k == 6, "ABC000000001")
+    return t(spark, d, "orders").where("o_orderkey < 9000").select("o_orderkey", S.figi_reason(made).alias("reason"))
+
+
+# --- joins and reconciliation ---------------------------------------------------------------------------------
+
+
+@query("""select coalesce(c.k, e.k) as k, case when c.k is not null and e.k is not null and c.bal > 0 then 'matched' when c.k is not null and e.k is not null then 'inactive_with_bar' when c.k is not null then 'reference_only' else 'bar_only' end as state
+  from (select c_custkey as k, c_acctbal as bal from customer) c full join (select distinct user_id as k from events) e on c.k = e.k""")
+def user_coverage_full_outer(spark, d):
+    ref = t(spark, d, "customer").select(F.col("c_custkey").alias("k"), (F.col("c_acctbal") > 0).alias("active"))
+    seen = t(spark, d, "events").select(F.col("user_id").alias("k")).distinct().withColumn("active", F.lit(True))
+    both = reconcile.full_compare(ref, seen, ["k"], ["active"], ("ref", "bar"))
+    return both.select("k", reconcile.coverage_state("in_ref", "in_bar", "ref_active").alias("state"))
+
+
+RECONCILE = """with o as (select o_orderkey as k, o_orderpriority, o_totalprice as total from orders), l as (select l_orderkey as k, sum(cast(l_extendedprice as decimal(18, 2)))::double as total from lineitem group by 1),
+  j as (select coalesce(o.k, l.k) as k, o.total as a, l.total as b, o.k is not null as io, l.k is not null as il from o full join l on o.k = l.k)"""
+
+
+def order_pairs(spark, d):
+    o = t(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("total"))
+    lines = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("total"))
+    return reconcile.full_compare(o, lines, ["k"], ["total"], ("order", "line"))
+
+
+@query(RECONCILE + """ select count(*) filter (where io and il) as pairs, count(*) filter (where io and not il) as order_only, count(*) filter (where il and not io) as line_only,
+  count(*) filter (where io and il and abs(a - b) > greatest(1.0, 0.5 * greatest(abs(a), abs(b)))) as total_mismatches from j""")
+def order_line_reconcile(spark, d):
+    return reconcile.mismatch_summary(order_pairs(spark, d), ["total"], ("order", "line"), 1.0, 0.5)
+
+
+@query(RECONCILE + """ select k % 100 as part, count(*) filter (where io <> il) as missing, count(*) as all_keys, case when count(*) filter (where io <> il) >= 2 and count(*) filter (where io <> il)::double / count(*) > 0.1 then 'failed'
+  when count(*) filter (where io <> il) > 0 then 'different' else 'matched' end as status from j group by 1""")
+def coverage_policy(spark, d):
+    parts = order_pairs(spark, d).groupBy((F.col("k") % 100).alias("part")).agg(F.count_if(F.col("in_order") != F.col("in_line")).alias("missing"), F.count("*").alias("all_keys"))
+    return parts.withColumn("status", reconcile.coverage_status("missing", "all_keys"))
+
+
+@query(RECONCILE + """, s as (select k % 10 as part, case when io and il then 'matched' when io then 'different' else 'failed' end as status from j)
+  select part, case when bool_or(status = 'failed') then 'failed' when bool_or(status = 'different') then 'different' else 'matched' end as gate from s group by 1""")
+def combined_gates(spark, d):
+    status = F.when(F.col("in_order") & F.col("in_line"), "matched").when(F.col("in_order"), "different").otherwise("failed")
+    return quality.combined_status(order_pairs(spark, d).select((F.col("k") % 10).alias("part"), status.alias("status")), ["part"])
+
+
+@query("""with u as (select user_id, cast(ts as date) as day, string_agg(distinct event_type, ',' order by event_type) as types from events group by 1, 2), c as (select day, lead(day) over (order by day) as nxt from (select distinct day from u)),
+  p as (select c.nxt as at, u.user_id, types from u join c using (day) where nxt is not null), q as (select u.day as at, user_id, types from u where day > (select min(day) from u)),
+  j as (select p.user_id as a, q.user_id as b, p.types as x, q.types as y from p full join q on p.at = q.at and p.user_id = q.user_id)
+  select count(*) filter (where a is null) as new_keys, count(b) as new_of, count(*) filter (where b is null) as disappeared_keys, count(a) as disappeared_of, count(*) filter (where x <> y) as changed_keys, count(*) filter (where a is not null and b is not null) as changed_of from j""")
+def snapshot_diff(spark, d):
+    rows = events(spark, d).groupBy("user_id", "day").agg(F.array_join(sets.sorted_set("event_type"), ",").alias("types"))
+    return reconcile.snapshot_diff(rows, "day", ["user_id"], "types")
+
+
+@query("select p_partkey from part where not exists (select 1 from lineitem where l_partkey = p_partkey)")
+def anti_join_orphans(spark, d):
+    return semantics.undefined_uses(t(spark, d, "part").select("p_partkey"), t(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey")), ["p_partkey"])
+
+
+@query("""select o_orderkey, o_orderstatus from orders o where exists (select 1 from lineitem where l_orderkey = o_orderkey) and not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_linestatus = o_orderstatus)""")
+def exists_not_exists_status(spark, d):
+    lines = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"))
+    return semantics.present_but_disagreeing(t(spark, d, "orders").select("o_orderkey", "o_orderstatus"), lines, ["o_orderkey"], ["o_orderstatus"])
+
+
+@query("""select distinct l_partkey, l_suppkey from lineitem a where exists (select 1 from lineitem b where b.l_partkey = a.l_partkey and b.l_returnflag = 'R') and not exists (select 1 from lineitem b where b.l_partkey = a.l_partkey and b.l_suppkey = a.l_suppkey and b.l_returnflag = 'R')""")
+def multi_col_identity(spark, d):
+    lines = t(spark, d, "lineitem")
+    returned = lines.where("l_returnflag = 'R'").select("l_partkey", "l_suppkey")
+    return semantics.present_but_disagreeing(lines.select("l_partkey", "l_suppkey").distinct(), returned, ["l_partkey"], ["l_suppkey"])
+
+
+@query("""select sum(n)::bigint as n_rows, count(*) as distinct_keys, sum(n - 1)::bigint as excess_rows, count(*) filter (where k > 1) as conflicting_keys from (select l_orderkey, l_linenumber, count(*) as n, count(distinct l_partkey) as k from lineitem group by 1, 2)""")
+def key_uniqueness(spark, d):
+    return semantics.uniqueness(t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey"])
+
+
+@query("select event_type, user_id, count(*) as occurrences from events group by 1, 2")
+def occurrence_counts(spark, d):
+    return semantics.occurrence_counts(t(spark, d, "events"), ["event_type", "user_id"])
+
+
+@query("select p_brand, count(distinct p_type) as n_versions, count(distinct p_type) = 1 as ok from part group by 1")
+def single_version(spark, d):
+    return semantics.single_version(t(spark, d, "part"), ["p_brand"], "p_type")
+
+
+@query("select count(*) as eligible_rows, count(*) filter (where p_partkey is null) as missing_keys from lineitem left join (select p_partkey from part where p_size > 5) on l_partkey = p_partkey where l_returnflag = 'A'")
+def foreign_key_audit(spark, d):
+    lines = t(spark, d, "lineitem").withColumn("eligible", F.col("l_returnflag") == "A")
+    return semantics.foreign_key_faults(lines, "l_partkey", t(spark, d, "part").where("p_size > 5"), "p_partkey", "eligible")
+
+
+@query("""select o_orderkey, n_name, r_name, c_mktsegment from orders left join customer on o_custkey = c_custkey left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey""")
+def triple_lookup(spark, d):
+    o, c, n, r = (t(spark, d, x) for x in ("orders", "customer", "nation", "region"))
+    out = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return out.select("o_orderkey", "n_name", "r_name", "c_mktsegment")
+
+
+@query("""select o_orderkey as child, case when c_custkey is null then 'parent' else 'segment' end as broken_fields from (select *, case when o_orderkey % 5 = 0 then 'X' end as seg from orders) left join customer on o_custkey = c_custkey
+  where c_custkey is null or coalesce(seg, c_mktsegment) <> c_mktsegment""")
+def parent_projection(spark, d):
+    parents = t(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    seg = t(spark, d, "orders").join(parents, F.col("o_custkey") == F.col("c_custkey"), "left").select(F.col("o_orderkey").alias("child"), "o_custkey", F.when(F.col("o_orderkey") % 5 == 0, "X").otherwise(F.col("segment")).alias("segment"))
+    return reconcile.projection_check(seg, parents, "o_custkey", "c_custkey", ["segment"]).select("child", F.array_join("broken_fields", ",").alias("broken_fields"))
+
+
+@query("""(select c_custkey as k, 'missing' as state from customer where c_custkey not in (select o_custkey from orders)) union all (select distinct o_custkey, 'extra' from orders where o_custkey not in (select c_custkey from customer))""")
+def plan_coverage(spark, d):
+    return reconcile.plan_coverage(t(spark, d, "customer").select(F.col("c_custkey").alias("k")), t(spark, d, "orders").select(F.col("o_custkey").alias("k")), ["k"])
+
+
+# --- intervals ------------------------------------------------------------------------------------------------
+
+
+@query(f"select user_id, event_type, run_no::bigint as run_no, first_index, last_index, n_rows, first_day, last_day from {RUNS}")
+def runs_event_type(spark, d):
+    return run_table(spark, d)
+
+
+@query(f"""select user_id, outer_state, middle_state, middle_first, middle_last, middle_sessions, case when middle_sessions = 1 then '1' when middle_sessions <= 5 then '2-5' else '6-20' end as band, first_index as resumed_index from (
+  select *, lag(event_type, 2) over w as outer_state, lag(event_type, 1) over w as middle_state, lag(last_index, 2) over w as a_end, lag(first_index, 1) over w as middle_first, lag(last_index, 1) over w as middle_last,
+    lag(last_index, 1) over w - lag(first_index, 1) over w + 1 as middle_sessions from {RUNS} window w as (partition by user_id order by run_no))
+  where outer_state = event_type and middle_state <> event_type and a_end + 1 = middle_first and middle_last + 1 = first_index and middle_sessions <= 20""")
+def bounce_aba(spark, d):
+    return intervals.bounces(run_table(spark, d), ["user_id"], "event_type")
+
+
+@query(f"""select user_id, day, event_type, coalesce(b2 = event_type and b1 <> event_type and i2 + 2 = session_index, false) as is_bounce from (select *, lag(event_type, 2) over w as b2, lag(event_type) over w as b1, lag(session_index, 2) over w as i2
+  from {DAILY} join {SPINE} using (day) window w as (partition by user_id order by session_index))""")
+def bounce_facts(spark, d):
+    return intervals.previous_two(indexed(spark, d), ["user_id"], "session_index", "event_type").select("user_id", "day", "event_type", "is_bounce")
+
+
+@query(f"select user_id, event_type, first_index, n_rows from {RUNS} where n_rows >= 3")
+def long_runs(spark, d):
+    return intervals.long_runs(run_table(spark, d), 3).select("user_id", "event_type", "first_index", "n_rows")
+
+
+@query(f"""with c as (select day, session_index, lead(day) over (order by day) as nxt from {SPINE}), e as (select user_id, day, event_type, session_index, nxt from {DAILY} join c using (day) where n <= 3),
+  f as (select *, case when lag(session_index) over w is null or lag(session_index) over w + 1 <> session_index or lag(event_type) over w <> event_type then 1 else 0 end as is_new from e window w as (partition by user_id order by session_index)),
+  g as (select *, sum(is_new) over (partition by user_id order by session_index) as run_no from f)
+  select user_id, event_type, min(day) as valid_from, max(day) as valid_through, arg_max(coalesce(nxt, date '9999-01-01'), session_index) as valid_to_exclusive, bool_or(nxt is null) as is_open from g group by user_id, event_type, run_no""")
+def alias_intervals(spark, d):
+    rows = daily(spark, d).withColumn("eligible", F.col("n") <= 3).withColumnRenamed("day", "session_date")
+    out = intervals.alias_intervals(rows, calendar.spine_of(events(spark, d), "day"), ["user_id"], ["event_type"])
+    return out.select("user_id", "event_type", "valid_from", "valid_through", F.coalesce("valid_to_exclusive", F.to_date(F.lit("9999-01-01"))).alias("valid_to_exclusive"), "is_open")
+
+
+@query(f"""select event_id, r.event_type as covering_state, r.first_day from events e left join {RUNS} r on e.user_id = r.user_id and cast(e.ts as date) between r.first_day and r.last_day""")
+def interval_lookup(spark, d):
+    rows = run_table(spark, d).withColumnRenamed("event_type", "covering_state")
+    return intervals.interval_lookup(events(spark, d).select("event_id", "user_id", "day"), rows, ["user_id"], "day", "first_day", "last_day", ["covering_state", "first_day"]).select("event_id", "covering_state", "first_day")
+
+
+ORDER_SPANS = "(select o_custkey, o_orderkey, o_orderdate::date as a, max(l_shipdate)::date as b from orders join lineitem on l_orderkey = o_orderkey group by 1, 2, 3)"
+
+
+def order_spans(spark, d):
+    ends = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").cast("date").alias("b"))
+    return t(spark, d, "orders").join(ends, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("a"), "b")
+
+
+@query(f"""select l.o_custkey, l.o_orderkey as left_id, r.o_orderkey as right_id from {ORDER_SPANS} l join {ORDER_SPANS} r on l.o_custkey = r.o_custkey and (l.a < r.a or (l.a = r.a and l.o_orderkey < r.o_orderkey)) and r.a <= l.b""")
+def interval_overlap_pairs(spark, d):
+    return intervals.overlap_pairs(order_spans(spark, d), ["o_custkey"], "o_orderkey", "a", "b")
+
+
+@query(f"""select o_orderkey, case when e.user_id is null then 'no_match' when e.day < a then 'before' when e.day > b then 'after' else 'inside' end as position from {ORDER_SPANS} left join (select user_id, min(cast(ts as date)) - 9000 as day from events group by 1) e on o_custkey = user_id""")
+def event_in_interval(spark, d):
+    first = events(spark, d).groupBy("user_id").agg(F.date_sub(F.min("day"), 9000).alias("day"))
+    rows = order_spans(spark, d).join(first, F.col("o_custkey") == F.col("user_id"), "left")
+    return rows.select("o_orderkey", intervals.classify_event("day", "a", "b", F.col("user_id").isNotNull()).alias("position"))
+
+
+# --- as-of, heads, releases -----------------------------------------------------------------------------------
+
+
+@query("""select o_orderkey, (select min(l) from (select distinct l_shipdate as l from lineitem where l_shipdate is not null and extract(day from l_shipdate) % 4 = 0) where l > o_orderdate) as next_open from orders""")
+def next_open_asof(spark, d):
+    opens = t(spark, d, "lineitem").where(F.dayofmonth("l_shipdate") % 4 == 0).select(F.col("l_shipdate").alias("open"))
+    return asof.first_after(t(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", opens, "open", "next_open").select("o_orderkey", "next_open")
+
+
+@query("""select o_custkey, o_orderkey, version from (select *, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey)::int as version from orders) where o_orderdate <= timestamp '1998-06-30' qualify row_number() over (partition by o_custkey order by version desc) = 1""")
+def effective_head_cutoff(spark, d):
+    rows = t(spark, d, "orders").withColumn("version", F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")))
+    return asof.effective_head(rows, ["o_custkey"], "version", "o_orderdate", F.to_timestamp_ntz(F.lit("1998-06-30 00:00:00"))).select("o_custkey", "o_orderkey", "version")
+
+
+@query("""with v as (select *, row_number() over (partition by o_custkey order by o_orderkey)::int as version, lag(o_orderkey) over (partition by o_custkey order by o_orderkey) as prev from orders)
+  select o_orderkey, 'availability_decreases' as faults from (select *, lag(o_orderdate) over (partition by o_custkey order by version) as before from v) where o_orderdate < before""")
+def chain_faults(spark, d):
+    order = W.partitionBy("o_custkey").orderBy("o_orderkey")
+    rows = t(spark, d, "orders").withColumns({"version": F.row_number().over(order), "prev": F.lag("o_orderkey").over(order)})
+    return asof.chain_faults(rows, ["o_custkey"], "version", "o_orderkey", "prev", "o_orderdate").select("o_orderkey", F.array_join("faults", ",").alias("faults"))
+
+
+VERSIONS = """(select user_id, event_id, event_type, ts, row_number() over w as version, case when row_number() over w > 1 and event_id % 3 > 0 then row_number() over w - 1 end as predecessor, event_type = 'error' as dead from events window w as (partition by user_id order by ts, event_id))"""
+
+
+def versions(spark, d):
+    n = F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id"))
+    rows = t(spark, d, "events").withColumn("version", n.cast("long"))
+    return rows.withColumn("predecessor", F.when((F.col("version") > 1) & (F.col("event_id") % 3 > 0), F.col("version") - 1)).withColumn("dead", F.col("event_type") == "error")
+
+
+@query(f"""select 'latest_reviewed_research' as view, user_id, event_id from {VERSIONS} v where not dead and not exists (select 1 from {VERSIONS} w where w.user_id = v.user_id and w.predecessor = v.version)
+  union all select 'historical_as_known', user_id, event_id from {VERSIONS} v where ts <= timestamp '2024-01-15' and not dead and not exists (select 1 from {VERSIONS} w where w.user_id = v.user_id and w.predecessor = v.version and w.ts <= timestamp '2024-01-15')""")
+def snapshot_resolution(spark, d):
+    rows, cutoff = versions(spark, d), F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
+    now = releases.row_view(rows, ["user_id"], "version", "predecessor", "dead", "ts").select(F.lit("latest_reviewed_research").alias("view"), "user_id", "event_id")
+    then = releases.row_view(rows, ["user_id"], "version", "predecessor", "dead", "ts", cutoff).select(F.lit("historical_as_known").alias("view"), "user_id", "event_id")
+    return now.unionAll(then)
+
+
+@query("select user_id, event_type, event_id from (select *, row_number() over (partition by user_id, event_type order by event_id desc) as rn from events where ts <= timestamp '2024-01-20') where rn = 1")
+def partition_view(spark, d):
+    out = releases.partition_view(t(spark, d, "events"), ["user_id", "event_type"], "event_id", "ts", F.to_timestamp_ntz(F.lit("2024-01-20 00:00:00")))
+    return out.select("user_id", "event_type", "event_id")
+
+
+@query(f"""with x as (select *, n <= 3 as eligible from {DAILY}), l as (select * from x qualify row_number() over (partition by user_id order by day desc) = 1),
+  b as (select x.* from x join l on x.user_id = l.user_id and x.day < l.day where x.eligible qualify row_number() over (partition by x.user_id order by x.day desc) = 1)
+  select l.user_id, l.day as last_index, case when l.eligible then l.day when b.event_type = l.event_type then b.day end as parent_id from l left join b using (user_id)""")
+def stable_continuation(spark, d):
+    rows = daily(spark, d).withColumn("eligible", F.col("n") <= 3)
+    return asof.stable_parent(rows, ["user_id"], "day", "eligible", "day", ["event_type"])
+
+
+# --- sets, masters --------------------------------------------------------------------------------------------
+
+
+@query("""(select 'union_all' as op, count(*) as n from (select user_id from events where event_type = 'view' union all select user_id from events where event_type = 'click'))
+  union all (select 'intersect', count(*) from (select user_id from events where event_type = 'view' and value > 400 intersect select user_id from events where event_type = 'click' and value > 400))
+  union all (select 'except', count(*) from (select user_id from events where event_type = 'view' and value > 400 except select user_id from events where event_type = 'click' and value > 400))
+  union all (select 'distinct_pairs', count(*) from (select distinct user_id, event_type from events))""")
+def set_ops_active_inactive(spark, d):
+    e = t(spark, d, "events")
+    of = lambda kind, least: e.where((F.col("event_type") == kind) & (F.col("value") > least)).select("user_id")
+    both = readers.snapshot_pair(of("view", 0), of("click", 0))
+    n = lambda df, op: df.agg(F.lit(op).alias("op"), F.count("*").alias("n"))
+    return n(both, "union_all").unionAll(n(of("view", 400).intersect(of("click", 400)), "intersect")).unionAll(n(of("view", 400).subtract(of("click", 400)), "except")).unionAll(n(e.select("user_id", "event_type").distinct(), "distinct_pairs"))
+
+
+@query("""select count(*) filter (where b is null) as left_only, count(*) filter (where a is null) as right_only, count(*) filter (where a is null or b is null) = 0 as equal
+  from (select distinct user_id as a from events where event_type = 'view') full join (select distinct user_id as b from events where event_type = 'click') on a = b""")
+def set_equality(spark, d):
+    e = t(spark, d, "events")
+    return sets.same_set(e.where("event_type = 'view'"), e.where("event_type = 'click'"), ["user_id"])
+
+
+@query("""select user_id, array_to_string(list_sort(list(distinct event_type)), ',') as types, array_to_string(coalesce(list_sort(list(distinct event_type) filter (where value > 300)), []), ',') as large_types from events group by 1""")
+def sorted_sets(spark, d):
+    return t(spark, d, "events").groupBy("user_id").agg(F.array_join(sets.sorted_set("event_type"), ",").alias("types"), F.array_join(sets.sorted_set_where("event_type", F.col("value") > 300), ",").alias("large_types"))
+
+
+@query("""select user_id, count(*) as n_keys, array_to_string(list_sort(list(k)), ',') as keys from (select distinct user_id, unnest([event_type, json_extract_string(props, '$.k')]) as k from events) group by 1""")
+def explode_sets(spark, d):
+    values = F.array("event_type", F.get_json_object("props", "$.k"))
+    return sets.exploded_set(t(spark, d, "events"), ["user_id"], values, "keys").select("user_id", F.size("keys").cast("long").alias("n_keys"), F.array_join("keys", ",").alias("keys"))
+
+
+@query("""select user_id, min(day) as first_seen_date, max(day) as last_seen_date, min(day) filter (where value > 100) as first_active_date, max(day) filter (where value > 100) as last_active_date, bool_or(value <= 100) as ever_inactive,
+  bool_or(value > 100 and day = date '2024-01-30') as active_on_end_date, arg_max(event_type, day) as event_type from (select user_id, cast(ts as date) as day, max(value) as value, max(event_type) as event_type from events group by 1, 2) group by 1""")
+def history_rollup(spark, d):
+    rows = events(spark, d).groupBy("user_id", "day").agg((F.max("value") > 100).alias("active"), F.max("event_type").alias("event_type"))
+    return masters.history(rows, "user_id", "day", "active", ["event_type"], F.to_date(F.lit("2024-01-30")))
+
+
+@query("""select user_id, min(cast(ts as date)) as first_session, max(cast(ts as date)) as last_session, count(*) as n_rows, count(*) filter (where value > 100) as n_direct, array_to_string(coalesce(list_sort(list(distinct event_type) filter (where value > 60)), []), ',') as variants,
+  case when count(distinct event_type) filter (where value > 60) = 0 then 'unknown' when count(distinct event_type) filter (where value > 60) = 1 then 'unique' else 'ambiguous' end as status from events group by 1""")
+def master_rollup(spark, d):
+    rows = events(spark, d).withColumn("kind", F.when(F.col("value") > 60, F.col("event_type")))
+    out = masters.master(rows, "user_id", "day", ["kind"], F.col("value") > 100)
+    return out.select("user_id", "first_session", "last_session", "n_rows", "n_direct", F.array_join("kind_variants", ",").alias("variants"), F.col("kind_status").alias("status"))
+
+
+@query("""with l as (select user_id, max(cast(ts as date)) filter (where value > 450) as last_resolved from events group by 1)
+  select l.user_id, last_resolved, min(cast(ts as date)) as tail_first, max(cast(ts as date)) as tail_last, count(e.event_id) as tail_rows from l left join events e on e.user_id = l.user_id and (last_resolved is null or cast(ts as date) > last_resolved) group by 1, 2""")
+def unresolved_tail(spark, d):
+    return masters.tail_after_resolved(events(spark, d), "user_id", "day", F.col("value") > 450)
+
+
+@query("""select l_partkey, count(distinct l_suppkey) as n_shares, count(*) filter (where l_returnflag = 'A') as active_rows, count(*) filter (where l_returnflag <> 'A') as inactive_rows, count(distinct l_shipdate) as n_sessions, count(distinct l_linestatus) as n_l_linestatus,
+  count(distinct l_suppkey) > 1 as share_class_conflict from lineitem group by 1""")
+def identifier_inventory(spark, d):
+    rows = t(spark, d, "lineitem").withColumn("active", F.col("l_returnflag") == "A")
+    out = masters.inventory(rows, "l_partkey", "l_suppkey", "active", "l_shipdate", ["l_linestatus"])
+    return out.select("l_partkey", F.size("share_classes").cast("long").alias("n_shares"), "active_rows", "inactive_rows", "n_sessions", "n_l_linestatus", "share_class_conflict")
+
+
+@query("select p_brand, count(distinct p_type) as n_p_type, count(distinct p_size) as n_p_size from part group by 1 having count(distinct p_type) > 1 or count(distinct p_size) > 1")
+def churn_groups(spark, d):
+    return sets.churned(t(spark, d, "part"), "p_brand", ["p_type", "p_size"])
+
+
+@query("select lower(p_name) as key, count(distinct p_brand) as n_owners from part group by 1 having count(distinct p_brand) > 1")
+def casefold_collisions(spark, d):
+    return sets.owners(t(spark, d, "part"), S.folded("p_name"), "p_brand")
+
+
+@query("""select user_id, sha256(array_to_string(list_sort(list(distinct event_type)), ',')) as set_digest from events group by 1""")
+def set_digest(spark, d):
+    return t(spark, d, "events").groupBy("user_id").agg(sets.set_digest("event_type").alias("set_digest"))
+
+
+@query("""select user_id, count(*) as n_ids, sha256(string_agg(event_id::varchar, ',' order by ts)) as digest from events group by 1""")
+def ordered_lineage_digest(spark, d):
+    return sets.ordered_digest(t(spark, d, "events"), ["user_id"], "ts", "event_id")
+
+
+@query("""select c_custkey, sha256('{"cik":"' || lpad(c_custkey::varchar, 10, '0') || '","namespace":"issuer","rule_version":"1"}') as issuer_id from customer""")
+def surrogate_ids(spark, d):
+    return t(spark, d, "customer").select("c_custkey", S.issuer_id(F.col("c_custkey").cast("string")).alias("issuer_id"))
+
+
+# --- scalars --------------------------------------------------------------------------------------------------
+
+
+@query("select event_id, json_extract(props, '$.k')::bigint as k, user_id from events")
+def json_flatten(spark, d):
+    rows = t(spark, d, "events").withColumn("p", F.from_json("props", "k bigint"))
+    return rows.select("event_id", F.col("p.k").alias("k"), "user_id")
+
+
+@query("select p_partkey, i::int as ordinal, w as word from (select p_partkey, string_split(p_name, ' ') as ws from part), unnest(ws) with ordinality as u(w, j), lateral (select j - 1 as i)")
+def posexplode_bridge(spark, d):
+    return dimensions.bridge(t(spark, d, "part").withColumn("ws", F.split("p_name", " ")), ["p_partkey"], "ws", "word", "ordinal")
+
+
+@query("""select event_id, cast(ts as date) as utc_date, isodow(ts) >= 6 as weekend, date_trunc('quarter', ts)::date as quarter, (epoch_us(ts) * 1000) % 60000000000 = 0 as on_minute,
+  case when cast(ts as date) = date '2024-01-03' then null else cast(ts as date) end as strict from events""")
+def scalar_time(spark, d):
+    ns = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    text = F.when(F.to_date("ts") == F.to_date(F.lit("2024-01-03")), "2024-13-03").otherwise(F.col("ts").cast("date").cast("string"))
+    return t(spark, d, "events").select("event_id", S.ms_to_utc_date((ns / 1_000_000).cast("long")).alias("utc_date"), S.is_weekend(F.to_date(S.ns_to_timestamp(ns))).alias("weekend"), F.trunc("ts", "quarter").alias("quarter"), S.on_grid(ns).alias("on_minute"), S.strict_date(text).alias("strict"))
+
+
+@query("""select c_custkey, nullif(trim(c_mktsegment), '') as cleaned, lpad(c_custkey::varchar, 10, '0') as cik, case when c_custkey % 2 = 0 then '0000' || lpad(c_custkey::varchar, 6, '0') || '-24-000001' end as accession, lower(c_name) as folded from customer""")
+def scalar_string(spark, d):
+    digits = F.lpad(F.col("c_custkey").cast("string"), 10, "0")
+    url = F.concat(F.lit("https://www.example.org/a/"), digits, F.lit("-24-000001.txt"), F.when(F.col("c_custkey") % 2 == 1, "?x=1").otherwise(""))
+    return t(spark, d, "customer").select("c_custkey", S.clean(F.concat(F.lit("　 "), "c_mktsegment", F.lit("\t"))).alias("cleaned"), S.padded_cik(F.col("c_custkey").cast("string")).alias("cik"), S.accession_of(url).alias("accession"), S.folded("c_name").alias("folded"))
+
+
+@query("select o_orderkey, case when o_orderkey % 4 = 0 then null else round(o_totalprice / (o_orderkey % 4), 6) end as ratio, case when o_orderkey % 4 = 0 then 0 else round(o_totalprice / (o_orderkey % 4), 6) end as ratio_or_zero from orders")
+def safe_ratio(spark, d):
+    k = F.col("o_orderkey") % 4
+    return t(spark, d, "orders").select("o_orderkey", F.round(S.ratio("o_totalprice", k), 6).alias("ratio"), F.round(S.ratio("o_totalprice", k, 0.0), 6).alias("ratio_or_zero"))
+
+
+@query("select event_id, sha256('{\"event_id\":' || event_id || ',\"event_type\":\"' || event_type || '\",\"note\":null}') as digest, 'object' as native from events")
+def canonical_digest(spark, d):
+    return t(spark, d, "events").select("event_id", S.stable_digest(event_type="event_type", event_id="event_id", note=F.lit(None).cast("string")).alias("digest"), S.native_type("props").alias("native"))
+
+
+# --- reports --------------------------------------------------------------------------------------------------
+
+
+@query("select event_type, count(*) filter (where value > 250) as n_true, count(*) filter (where value <= 250) as n_false, count(*) as n_rows from events group by 1")
+def cross_tab(spark, d):
+    return quality.cross_tab(t(spark, d, "events"), "event_type", F.col("value") > 250, [True, False])
+
+
+@query("select event_type, min(n) as least, median(n) as median, max(n) as most from (select event_type, cast(ts as date) as day, count(*) as n from events group by 1, 2) group by 1")
+def distribution(spark, d):
+    return quality.distribution(events(spark, d).groupBy("event_type", "day").agg(F.count("*").alias("n")), ["event_type"], "n")
+
+
+@query("select event_type, user_id, count(*) as n_rows from events group by 1, 2 order by 3 desc, 1, 2 limit 30")
+def topk_types(spark, d):
+    return quality.top_k(t(spark, d, "events"), ["event_type", "user_id"], 30)
+
+
+@query("select event_type, event_id, row_number() over (partition by event_type order by event_id)::int as example from events where value > 50 qualify row_number() over (partition by event_type order by event_id) <= 10 order by 1, 3 limit 35")
+def bounded_examples(spark, d):
+    return quality.bounded_examples(t(spark, d, "events").where("value > 50"), "event_type", ["event_id"], 10, 35)
+
+
+@query("""with m as (select count(*) as n, count(*) filter (where value > 490) as hi, 0 as z, count(*) filter (where user_id is null) as nu from events)
+  select 'no_null_user' as rule, nu as numerator, null::bigint as denominator, null::double as rate, case when nu <= 0 then 'passed' else 'failed' end as status from m
+  union all select 'few_high', hi, n, hi::double / n, case when hi::double / n <= 0.5 then 'passed' else 'warning' end from m union all select 'rate_of_none', hi, z, null, 'failed' from m""")
+def qa_rule_eval(spark, d):
+    m = t(spark, d, "events").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 490).alias("hi"), F.lit(0).alias("z"), F.count_if(F.col("user_id").isNull()).alias("nu"))
+    rules = [
+        {"name": "no_null_user", "numerator": "nu", "op": "<=", "limit": 0}, {"name": "few_high", "numerator": "hi", "denominator": "n", "on": "rate", "op": "<=", "limit": 0.5, "on_failure": "warning"},
+        {"name": "rate_of_none", "numerator": "hi", "denominator": "z", "on": "rate", "op": "<=", "limit": 0.5},
+    ]
+    return quality.qa_results(m, rules)
+
+
+@query("""with g as (select l_orderkey, l_linenumber, l_partkey, l_tax > 0.07 as bad, count(*) as n from lineitem group by 1, 2, 3, 4)
+  select sum(n)::bigint as input_rows, count(*) filter (where not bad) as accepted_rows, sum(n - 1) filter (where not bad)::bigint as duplicate_rows, coalesce(sum(n) filter (where bad), 0)::bigint as quarantined_rows, true as balanced from g""")
+def row_funnel(spark, d):
+    return quality.row_funnel(t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey"], F.col("l_tax") > 0.07)
+
+
+@query("""select l_orderkey, l_linenumber, l_partkey from lineitem where (l_orderkey, l_linenumber) in (select (l_orderkey, l_linenumber) from lineitem group by l_orderkey, l_linenumber having count(distinct l_partkey) = 1) and l_tax <= 0.07
+  qualify row_number() over (partition by l_orderkey, l_linenumber order by l_quantity, l_shipdate) = 1""")
+def dimension_table(spark, d):
+    good, _ = dimensions.dimension(t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey"], ["l_quantity", "l_shipdate"], {"taxed": F.col("l_tax") > 0.07})
+    return good.select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("select p_partkey, p_name from part order by p_name, p_partkey limit 20 offset 40")
+def paged_view(spark, d):
+    return readers.page_of(t(spark, d, "part").select("p_partkey", "p_name"), ["p_name", "p_partkey"], 40, 20)
+
+
+@query("""select 'daily' as dataset, day as first, day as last from (select distinct cast(ts as date) as day from events) where day between date '2024-01-05' and date '2024-01-20'
+  union all select 'quarterly', greatest(q, date '2023-02-10'), least((q + interval 3 month - interval 1 day)::date, date '2024-01-20') from (select unnest(generate_series(date '2023-01-01', date '2024-01-01', interval 3 month))::date as q)
+  union all select 'once', date '2020-01-01', date '2024-01-20'""")
+def request_plan(spark, d):
+    rows = spark.createDataFrame([("daily", "per_session", "2024-01-05", "2024-01-20"), ("quarterly", "quarterly", "2023-02-10", "2024-01-20"), ("once", "single", "2020-01-01", "2024-01-20")], "dataset string, fan_out string, start string, end string")
+    rows = rows.withColumns({"start": F.to_date("start"), "end": F.to_date("end")})
+    return planning.plan(rows, calendar.spine_of(events(spark, d), "day")).drop("request_id")
+
+
+@query("""select count(*) as n_rows, count(*) - count(distinct event_id) as key_excess, count(*) filter (where event_id is null) as event_id_nulls, count(*) filter (where user_id is null) as user_id_nulls from events""")
+def contract_violations(spark, d):
+    c = contracts.TableContract("events", 1, (("event_id", "int64", False), ("user_id", "int64", False), ("event_type", "string", True)), ("event_id",))
+    return c.violations(c.check_schema(c.project(t(spark, d, "events"))))
+
+
+# --- identity -------------------------------------------------------------------------------------------------
+
+
+@query("""with m as (select p_name as q, p_partkey, 'P' || p_size::varchar as figi, p_brand as market, p_type as share from part), s as (select q, count(*) filter (where figi = 'P7') as n_self, count(distinct market) filter (where figi = 'P7') as nm, min(market) filter (where figi = 'P7') as m, count(distinct share) filter (where figi in ('P7', 'P8')) > 1 as conflict from m group by 1)
+  select q as query, case when n_self = 1 then case when m = 'Brand#1' then 'us_composite' else 'non_us_composite' end when n_self > 1 and nm > 1 then 'unresolved_mixed_market' when n_self > 1 then 'unresolved_invalid_projection' else 'unresolved_no_self_row' end as classification, n_self as n_self_rows, conflict as share_class_conflict from s""")
+def classify_mapping(spark, d):
+    p = t(spark, d, "part")
+    own, related = F.col("p_size") == 7, F.col("p_size").isin(7, 8)
+    rows = p.select(F.col("p_name").alias("query"), F.when(own, F.col("p_name")).otherwise("x").alias("figi"), F.when(related, F.col("p_name")).otherwise("y").alias("composite"), F.col("p_type").alias("share"), F.when(F.col("p_brand") == "Brand#1", "US").otherwise(F.col("p_brand")).alias("market"))
+    return identity.classify_market(rows).drop("market_code")
+
+
+@query("""with o as (select o_orderkey, o_custkey, case when o_orderkey % 3 = 0 then null else 'BBG' || lpad(o_custkey::varchar, 9, '0') end as obs from orders), h as (select l_orderkey, count(distinct l_suppkey % 3) as n, min(l_suppkey % 3) as c from lineitem where l_returnflag = 'R' group by 1)
+  select o_orderkey, coalesce(n, 0) as n_matches, case when n = 1 then 'BBG' || lpad(c::varchar, 9, '0') when n is null then obs end as canonical, case when n = 1 then 'registry_exact_scope' when n > 1 then 'registry_ambiguous' when obs is not null then 'source_composite_figi_exact' else 'ticker_only' end as method from o left join h on l_orderkey = o_orderkey""")
+def registry_projection(spark, d):
+    figi = lambda c: F.concat(F.lit("BBG"), F.lpad(c.cast("string"), 9, "0"))
+    rows = t(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, figi(F.col("o_custkey"))).alias("observed"))
+    scopes = t(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("source_record_id"), figi(F.col("l_suppkey") % 3).alias("canonical"))
+    return identity.registry_projection(rows, scopes, "o_orderkey", [], "observed").select("o_orderkey", "n_matches", "canonical", "method")
+
+
+def _membership(spark, d):
+    figi = F.concat(F.lit("BBG"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    return t(spark, d, "orders").select(F.col("o_orderkey").alias("source_record_id"), F.when(F.col("o_orderkey") % 11 > 0, figi).alias("observed_composite_figi"), (F.col("o_orderkey") % 13 == 0).alias("relationship_conflict"))
+
+
+@query("""with r as (select o_orderkey as id, case when o_orderkey % 11 > 0 then 'BBG' || lpad(o_custkey::varchar, 9, '0') end as obs, o_orderkey % 13 = 0 as conflict, o_orderkey % 5 = 0 as in_case, o_orderkey % 20 as m from orders),
+  x as (select *, case when not in_case then null when m = 0 then 'confirmed_genuine_transition' when m = 5 then 'confirmed_provider_contamination' when m = 10 then 'adjudicated_unresolved' end as dis from r),
+  y as (select *, case when not in_case then obs when m = 0 then coalesce(obs, 'BBG000000001') when m = 5 then 'BBG000000002' end as canonical from x)
+  select id as source_record_id, canonical as canonical_composite_figi, case when not in_case then case when obs is null then 'not_applicable_no_observed_composite' else 'observed_consistent' end when dis is null then 'pending_unresolved' else dis end as disposition,
+    case when canonical is null then 'unresolved' when conflict then 'resolved_conflicted' when dis = 'confirmed_provider_contamination' then 'resolved_approved_override' else 'resolved_strong' end as status, canonical is not null and not conflict as eligible from y""")
+def cutoff_resolution(spark, d):
+    rows = _membership(spark, d)
+    m = F.col("source_record_id") % 20
+    cases = rows.where("source_record_id % 5 = 0").select(F.col("source_record_id").alias("case_id"), "source_record_id")
+    kind = F.when(m == 0, "confirmed_genuine_transition").when(m == 5, "confirmed_provider_contamination").when(m == 10, "adjudicated_unresolved")
+    target = F.when(m == 0, F.coalesce("observed_composite_figi", F.lit("BBG000000001"))).when(m == 5, "BBG000000002")
+    first = rows.where("source_record_id % 5 = 0").select(F.col("source_record_id").alias("case_id"), F.lit(1).alias("version"), kind.alias("disposition"), target.alias("canonical_composite_figi"), F.lit("2024-01-02").alias("available_session")).where("disposition is not null")
+    late = first.select("case_id", F.lit(2).alias("version"), F.lit("adjudicated_unresolved").alias("disposition"), F.lit(None).cast("string").alias("canonical_composite_figi"), F.lit("2024-06-03").alias("available_session"))
+    out = identity.resolve_at_cutoff(rows, cases, first.unionAll(late), F.lit("2024-03-01"))
+    return out.select("source_record_id", "canonical_composite_figi", "disposition", "status", "eligible")
+
+
+@query("""select c_custkey as source_record_id, case when n_regionkey = 1 and c_custkey % 2 = 0 then 'BBG999999999' when n_regionkey in (0, 2) then 'BBG' || lpad(c_custkey::varchar, 9, '0') end as canonical,
+  case when n_regionkey = 1 and c_custkey % 2 = 0 then 'foreign_overridden' when n_regionkey = 1 then 'foreign_unresolved' when n_regionkey in (0, 2) then 'consistent' else 'reference_unknown' end as cross_market_status from customer join nation on c_nationkey = n_nationkey""")
+def cross_market_resolution(spark, d):
+    figi = F.concat(F.lit("BBG"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
+    region = F.col("n_regionkey")
+    rows = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("source_record_id"), F.lit("us").alias("locale"), F.when(region == 1, "non_us_composite").when(region.isin(0, 2), "us_composite").when(region == 3, "unresolved_mixed_market").alias("market_class"), figi.alias("observed_composite_figi"))
+    overrides = t(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("source_record_id"), F.lit("BBG999999999").alias("canonical"))
+    return identity.cross_market(rows, overrides).select("source_record_id", "canonical", "cross_market_status")
+
+
+@query("""with n as (select s_suppkey, count(l_partkey) as rows_, count(distinct l_partkey % 4) filter (where l_returnflag = 'R' and l_quantity > 49) as pairs, min(l_partkey % 4) filter (where l_returnflag = 'R' and l_quantity > 49) as p from supplier left join lineitem on l_suppkey = s_suppkey and l_suppkey % 9 > 0 group by 1)
+  select s_suppkey::varchar as ticker, case when rows_ = 0 then 'no_result' when pairs = 0 then 'no_match' when pairs > 1 then 'ambiguous' when s_suppkey % 2 = 1 then 'listing_mismatch' else 'resolved' end as overlay_status, case when rows_ > 0 and pairs = 1 and s_suppkey % 2 = 0 then 'BBG' || lpad(p::varchar, 9, '0') end as composite from n""")
+def external_overlay(spark, d):
+    figi = F.concat(F.lit("BBG"), F.lpad((F.col("l_partkey") % 4).cast("string"), 9, "0"))
+    q = t(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("ticker"), F.lit("XNYS").alias("mic"))
+    results = t(spark, d, "lineitem").where("l_suppkey % 9 > 0").select(F.col("l_suppkey").cast("string").alias("ticker"), F.col("l_suppkey").cast("string").alias("result_ticker"), F.when(F.col("l_returnflag") == "R", "Equity").otherwise("Bond").alias("sector"), F.when(F.col("l_quantity") > 49, "Common Stock").otherwise("Fund").alias("security_type"), figi.alias("composite"), figi.alias("share_class"))
+    listings = t(spark, d, "supplier").where("s_suppkey % 2 = 0").select(F.col("s_suppkey").cast("string").alias("ticker"), F.lit("XNYS").alias("mic"))
+    return identity.external_overlay(q, results, listings).select("ticker", "overlay_status", "composite")
+
+
+@query("""select c_custkey, case when o.k is null then 'new' when not expired then case when seg = c_mktsegment then 'continued' else 'changed' end when seg = c_mktsegment then 'continued_after_expiry' else 'pending' end as continuation
+  from customer left join (select c_custkey as k, case when c_custkey % 3 = 0 then 'X' else c_mktsegment end as seg, c_custkey % 2 = 0 as expired from customer where c_custkey % 5 > 0) o on k = c_custkey""")
+def delta_continuation(spark, d):
+    c = t(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    state = c.where("c_custkey % 5 > 0").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "X").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"), (F.col("c_custkey") % 2 == 0).alias("expired"))
+    return identity.continuation(c, state, ["c_custkey"], ["c_mktsegment"], "expired").select("c_custkey", "continuation")
+
+
+@query("""select user_id, count(*) as n_rows, min(cast(ts as date)) as first_session, max(cast(ts as date)) as last_session, array_to_string(list_sort(list(distinct event_type)), ',') as event_type from events group by 1""")
+def delta_equals_full(spark, d):
+    rows, mid = events(spark, d), F.to_date(F.lit("2024-01-12"))
+    a, b = (stream.batch_state(rows.where(p), "user_id", "day", ["event_type"]) for p in (F.col("day") < mid, F.col("day") >= mid))
+    return stream.merge_state(a, b, "user_id", ["event_type"]).withColumn("event_type", F.array_join("event_type", ","))
+
+
+@query()
+def lifecycle_cluster(spark, d):
+    rows = daily(spark, d).select(
+        F.col("user_id").cast("string").alias("ticker"), F.col("day").alias("session_date"), F.when(F.col("n") % 3 == 0, F.col("event_type")).alias("share_class_figi"),
+        F.when(F.col("n") % 2 == 0, F.col("event_type")).alias("composite_figi"), F.when(F.col("close") > 400, (F.col("user_id") % 7).cast("string")).alias("cik"),
+        F.lit("CS").alias("type"), F.lit(None).cast("string").alias("name"), F.lit("XNYS").alias("primary_exchange"),
+    )
+    return lifecycle.lifecycles(rows)
+
+
+# --- windows on events and factors (extensions) ---------------------------------------------------------------
+
+
+@query("select time_bucket(interval '1 hour', ts) as window_start, event_type, count(*) as n_rows, round(sum(cast(value as decimal(18, 4)))::double, 4) as total from events group by 1, 2")
+def tumbling_windows(spark, d):
+    rows = t(spark, d, "events").withColumn("value", F.col("value").cast("decimal(18,4)"))
+    return stream.tumbling(rows, "ts", "1 hour", ["event_type"], "value").withColumn("total", F.round(F.col("total").cast("double"), 4))
+
+
+@query("""select user_id, min(ts) as session_start, max(ts) + interval '6 hours' as session_end, count(*) as n_rows from (select *, sum(n) over (partition by user_id order by ts, event_id) as s from (select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) <= interval '6 hours' then 0 else 1 end as n from events)) group by user_id, s""")
+def session_windows(spark, d):
+    return stream.sessions(t(spark, d, "events"), "ts", "6 hours", ["user_id"])
+
+
+@query(f"select day as signal_date, user_id::varchar as asset_id, round(close / lag(close, 20) over w - 1, 6) as raw_value from {DAILY} window w as (partition by user_id order by day)")
+def momentum_20(spark, d):
+    spec = factors.FactorSpec("momentum_20", lambda f: factors.momentum(f, "user_id", "day", "close", 20), 20, ("user_id", "day", "close"))
+    return spec.run(daily(spark, d)).withColumn("raw_value", F.round("raw_value", 6))
+
+
+@query(f"select day as signal_date, user_id::varchar as asset_id, round(-(close / lag(close, 5) over w - 1), 6) as raw_value from {DAILY} window w as (partition by user_id order by day)")
+def reversal_5(spark, d):
+    spec = factors.FactorSpec("reversal_5", lambda f: factors.reversal(f, "user_id", "day", "close", 5), 5)
+    return spec.run(daily(spark, d)).withColumn("raw_value", F.round("raw_value", 6))
+
+
+@query(f"""with q as (select day, quantile_cont(close, 0.05) as lo, quantile_cont(close, 0.95) as hi from {DAILY} group by 1), w as (select d.*, greatest(least(close, hi), lo) as v from {DAILY} d join q using (day))
+  select user_id, day, round(v, 5) as winsorised, round((v - avg(v) over (partition by day)) / stddev_samp(v) over (partition by day), 5) as zscore, round(percent_rank() over (partition by day order by close), 6) as pct_rank from w""")
+def zscore_xs(spark, d):
+    out = factors.cross_section(daily(spark, d), "day", "close", 0.05, 0.95)
+    return out.select("user_id", "day", *[F.round(c, n).alias(c) for c, n in (("winsorised", 5), ("zscore", 5), ("pct_rank", 6))])
+
+
+@query(f"""select user_id, day, round(link, 6) as link_return, round(avg(link) over w, 6) as rolling_mean, round(stddev_samp(link) over w, 6) as rolling_std from (select *, close / lag(close) over (partition by user_id order by day) - 1 as link from {DAILY}) window w as (partition by user_id order by day rows between 10 preceding and 1 preceding)""")
+def rolling_returns(spark, d):
+    out = factors.rolling(factors.link_returns(daily(spark, d), "user_id", "day", "close"), "user_id", "day", "link_return", 10)
+    return out.select("user_id", "day", *[F.round(c, 6).alias(c) for c in ("link_return", "rolling_mean", "rolling_std")])
+
+
+@query(f"select user_id, day, round(close - avg(close) over (partition by day, event_type), 9) as neutral from {DAILY}")
+def neutralised(spark, d):
+    return factors.neutralised(daily(spark, d), "day", "event_type", "close").select("user_id", "day", F.round("neutral", 9).alias("neutral"))
