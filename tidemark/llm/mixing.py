@@ -89,7 +89,7 @@ def schedule(docs: DataFrame, exponent: float | None = None, target_entropy: flo
     rows of their own. No window holds more than a block or one source's block totals.
     """
     names = docs.columns
-    rows = docs.withColumn("_words", n_words()).withColumn("_key", F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text")))
+    rows = docs.withColumn("_words", n_words()).withColumn("_key", keyed(seed, "doc_id", "text"))
     small = cut(rows.select(F.col("source"), F.col("_words").alias("n_words"), "_key"))
     sources = cut(source_totals(small))
     if exponent is None:
@@ -100,7 +100,7 @@ def schedule(docs: DataFrame, exponent: float | None = None, target_entropy: flo
     dealt = small.join(plan, same("source", "_source")).withColumn("_block", block_of())
     sums = dealt.groupBy("_source", "_block").agg(F.sum("n_words").alias("_sum"), F.max("_total").alias("_total"), F.max("_budget").alias("_budget"))
     # blocks in permuted order; what each may still spend in the partial epoch
-    order = W.partitionBy("_source").orderBy(F.xxhash64(F.lit(seed), "_block"), "_block")
+    order = W.partitionBy("_source").orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.lit("block"), "_block")), "_block")
     rest = F.when(F.col("_total") > 0, F.pmod("_budget", "_total")).otherwise(0)
     before = few(cut(sums.select(F.col("_source").alias("_s"), F.col("_block").alias("_b"), F.row_number().over(order).alias("_turn"), (rest - F.sum("_sum").over(order) + F.col("_sum")).alias("_left"))))
     ranked = rows.join(plan, same("source", "_source")).withColumn("_block", block_of())
@@ -121,5 +121,11 @@ def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= FEW else df
 
 
+def keyed(seed: int, doc_id: str, text: str) -> Column:
+    """60 bits that place a row in its source's permutation; rows of equal id and text tie, and are alike."""
+    whole = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col(text), F.lit("")))
+    return F.conv(F.left(F.md5(F.encode(whole, "UTF-8")), F.lit(15)), 16, 10).cast("long")
+
+
 def block_of() -> Column:
-    return F.pmod(F.xxhash64(F.lit("block"), "_key"), F.col("_blocks")).cast("int")
+    return F.pmod("_key", F.col("_blocks")).cast("int")

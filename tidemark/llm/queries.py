@@ -59,5 +59,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
+#: The grid of exponents that PASSES refinements end on, and the mixing query's own parameters.
+OP2_SQL = r"""
+with d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as n_words,
+    ('0x' || left(md5('17|' || coalesce(doc_id::varchar, '') || '|' || coalesce(text, '')), 15))::bigint as key
+  from documents),
+s as (select coalesce(source, chr(0)) as src, count(*) as n_rows, sum(n_words)::bigint as n_words, greatest(ceil(count(*) / 4096.0), 1)::bigint as blocks from d group by 1),
+g as (select sum(n_words)::double as total, max(n_words)::double as most, (min(n_words) filter (where n_words > 0))::double as least from s),
+a as (select *, case when most / least <= 2 then 0.0 else ceil((1 - ln(2.0) / ln(most / least)) * 16777216) / 16777216 end::double as alpha from g),
+z as (select a.*, (select sum(pow(n_words / total, alpha)) from s, a where n_words > 0) as norm from a),
+w as (select src, n_words as total_words, blocks, case when n_words > 0 then pow(n_words / total, alpha) / norm else 0 end as weight, most / (pow(most / total, alpha) / norm) as budget from s, z),
+p as (select *, round(weight * budget)::bigint as budget_words from w),
+r as (select d.*, p.*, key % blocks as b from d join p on coalesce(d.source, chr(0)) = p.src),
+k as (select src, b, sum(n_words)::bigint as in_block, max(total_words) as tw, max(budget_words) as bw from r group by 1, 2),
+o as (select src, b, row_number() over t as turn, case when tw > 0 then bw % tw else 0 end - sum(in_block) over t + in_block as left_words from k window t as (partition by src order by md5('17|block|' || b))),
+x as (select r.*, turn, left_words, row_number() over v as place, sum(n_words) over (partition by src, b order by key, doc_id rows between unbounded preceding and current row) - n_words as spent
+  from r join o using (src, b) window v as (partition by src, b order by key, doc_id)),
+y as (select *, case when total_words > 0 then budget_words // greatest(total_words, 1) else 1 end + case when left_words > 0 and spent < left_words then 1 else 0 end as passes from x)
+select doc_id, source, n_words, unnest(range(passes))::int as epoch, turn::int as block, place::int as place, round(weight, 9) as weight from y where passes > 0
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_mixing": OP2_SQL}
