@@ -14,7 +14,7 @@ def duplicate_stats(df: DataFrame, keys: list[str], values: list[str]) -> DataFr
 
     Two aggregations that both combine before the shuffle; values are compared as a struct, nulls included.
     """
-    groups = df.groupBy(*keys, F.xxhash64(*values).alias("_v1"), F.struct(*values).alias("_v")).agg(F.count("*").alias("_n")).groupBy(*keys).agg(F.sum("_n").alias("_n"), F.count("*").alias("_kinds"))
+    groups = df.groupBy(*keys, F.struct(*values).alias("_v")).agg(F.count("*").alias("_n")).groupBy(*keys).agg(F.sum("_n").alias("_n"), F.count("*").alias("_kinds"))
     many = F.col("_n") > 1
     return groups.agg(
         F.count_if(many).alias("duplicate_keys"), F.coalesce(F.sum(F.when(many, F.col("_n") - 1)), F.lit(0)).alias("duplicate_excess"),
