@@ -17,6 +17,7 @@ from ..functions import scalar as S
 from ..operators import asof, bars, calendar, contracts, dedupe, dimensions, factors, identity, intervals, lifecycle, masters, quality, reconcile, releases, semantics, sets
 from ..sources import planning, readers
 from ..streaming import events as stream
+from . import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -725,3 +726,63 @@ def rolling_returns(spark, d):
 @query(f"select user_id, day, round(close - avg(close) over (partition by day, event_type), 9) as neutral from {DAILY}")
 def neutralised(spark, d):
     return factors.neutralised(daily(spark, d), "day", "event_type", "close").select("user_id", "day", F.round("neutral", 9).alias("neutral"))
+
+
+# --- domain pipelines -----------------------------------------------------------------------------------------
+
+
+@query("""with m as (select *, cast(ts as date) as d, extract(hour from ts) * 60 + extract(minute from ts) between 570 and 959 as reg from events),
+  x as (select d, user_id, max(value) filter (where reg) as h, arg_max(value, ts) filter (where reg) as c, count(*)::double as v, count(*) filter (where reg) as n from m group by 1, 2),
+  y as (select d, user_id, max(value) as h, arg_max(value, ts) + case when user_id % 10 = 0 then 1 else 0 end as c, count(*)::double as v from m where user_id % 17 > 0 group by 1, 2)
+  select x.d as session_date, count(y.user_id) as pairs, count(*) filter (where y.user_id is null) as minute_only, 0::bigint as day_only, count(*) filter (where y.user_id is not null and n = 0) as no_regular_bars,
+    count(*) filter (where abs(x.c - y.c) > greatest(0.01, 0.0001 * greatest(x.c, y.c))) as close_mismatches, count(*) filter (where abs(x.h - y.h) > greatest(0.01, 0.0001 * greatest(x.h, y.h))) as high_mismatches, count(*) filter (where x.v <> y.v) as volume_mismatches,
+    case when count(*) filter (where y.user_id is null) >= 2 and count(*) filter (where y.user_id is null)::double / count(*) > 0.1 then 'failed' when count(*) filter (where y.user_id is null) > 0 then 'different' else 'matched' end as status
+  from x left join y on x.d = y.d and x.user_id = y.user_id group by 1""")
+def minute_day_audit(spark, d):
+    e = events(spark, d)
+    ns = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    bar = [F.col("value").alias(c) for c in pipelines.PRICES]
+    minute = e.select(F.col("day").alias("session_date"), F.col("user_id").cast("string").alias("ticker"), ns.alias("window_start"), *bar, F.lit(1.0).alias("volume"), F.lit(1).cast("long").alias("transactions"))
+    full = bars.ohlc(e.where("user_id % 17 > 0"), ["user_id", "day"], "ts", "event_id", "value")
+    official = full.select(F.col("day").alias("session_date"), F.col("user_id").cast("string").alias("ticker"), "open", "high", "low", (F.col("close") + F.when(F.col("user_id") % 10 == 0, 1).otherwise(0)).alias("close"), F.col("n_bars").cast("double").alias("volume"), F.col("n_bars").alias("transactions"))
+    at = lambda h: F.unix_micros(F.to_timestamp_ntz(F.concat(F.col("session_date").cast("string"), F.lit(h))).cast("timestamp")) * 1000
+    cal = e.select(F.col("day").alias("session_date")).distinct().withColumns({"open_ns": at(" 09:30:00"), "close_ns": at(" 16:00:00")})
+    out = pipelines.minute_day_audit(minute, official, cal, 0.01, 0.0001)
+    return out.select("session_date", "pairs", "minute_only", "day_only", "no_regular_bars", "close_mismatches", "high_mismatches", "volume_mismatches", "status")
+
+
+@query("""select 'event_type' as field, count(event_type) as present, count(*) - count(event_type) as nulls, 0::bigint as empty, 0::bigint as numbers, count(distinct event_type) as "distinct" from events
+  union all select 'k', count(*), 0, 0, count(*), count(distinct json_extract_string(props, '$.k')) from events""")
+def source_profile(spark, d):
+    rows = t(spark, d, "events").select("event_type", F.get_json_object("props", "$.k").alias("k"))
+    return pipelines.source_profile(rows, ["event_type", "k"]).select("field", "present", "nulls", "empty", "numbers", "distinct")
+
+
+def _members(spark, d):
+    """Daily membership: the day's last event type plays the observed identifier."""
+    kinds = ["view", "error", "click", "purchase", "signup"]
+    figi = F.lit(None).cast("string")
+    for k, name in enumerate(kinds):
+        figi = F.when(F.col("event_type") == name, f"BBG00000000{k}").otherwise(figi)
+    return daily(spark, d).select(F.col("day").alias("session_date"), F.col("user_id").cast("string").alias("ticker"), F.concat_ws("|", "user_id", "day").alias("source_record_id"), figi.alias("observed_composite_figi"), F.lit("s").alias("share_class_figi"), F.col("user_id").cast("string").alias("cik"))
+
+
+@query(f"select user_id::varchar as ticker, first_day as valid_from, last_day as valid_through, n_rows from {RUNS}")
+def ticker_alias(spark, d):
+    none = spark.createDataFrame([], "source_record_id string, canonical string")
+    tables = pipelines.four_tables(_members(spark, d), none, calendar.spine_of(events(spark, d), "day"))
+    return tables["ticker_alias"].select("ticker", "valid_from", "valid_through", "n_rows")
+
+
+@query(f"""select r.user_id::varchar as ticker, day as session_date, r.first_day as alias_from from {DAILY} x join {RUNS} r on x.user_id = r.user_id and x.day between r.first_day and r.last_day""")
+def universe_daily(spark, d):
+    none = spark.createDataFrame([], "source_record_id string, canonical string")
+    tables = pipelines.four_tables(_members(spark, d), none, calendar.spine_of(events(spark, d), "day"))
+    alias = tables["ticker_alias"].select("ticker_alias_id", F.col("valid_from").alias("alias_from"))
+    return tables["universe_daily"].join(alias, "ticker_alias_id").select("ticker", "session_date", "alias_from")
+
+
+@query(f"""select day as session_date, case when event_type = 'view' then 'us_composite' when event_type = 'error' then 'non_us_composite' else 'unclassified' end as reason, count(*) as n_rows from {DAILY} group by 1, 2""")
+def sequence_reasons(spark, d):
+    classes = spark.createDataFrame([("BBG000000000", "us_composite"), ("BBG000000001", "non_us_composite")], "query string, classification string")
+    return pipelines.sequence_scan(_members(spark, d), classes, calendar.spine_of(events(spark, d), "day"), ["observed_composite_figi"])["daily"]
