@@ -121,3 +121,55 @@ def test_stream_windows_equal_batch(spark, tmp_path):
     got = run_stream(spark, [rows[:500], rows[500:]], e.schema, tmp_path, lambda s: stream.tumbling(s, "ts", "1 day", ["event_type"], "one"), "complete")
     want = stream.tumbling(e, "ts", "1 day", ["event_type"], "one")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def linked(pages, fail=()):
+    """A transport over pages {url: next}; each url in fail answers 503 once."""
+    left = list(fail)
+
+    def fetch(url):
+        if url in left:
+            left.remove(url)
+            return 503, "", None
+        return 200, json.dumps({"results": [url], "next_url": pages[url]}), None
+
+    return fetch
+
+
+def test_connector_follows_guards_and_resumes():
+    from tidemark.sources import connector
+
+    urls = {"https://a/1": "https://a/2", "https://a/2": "https://a/3", "https://a/3": None}
+    waits = []
+    source = connector.PagedSource(linked(urls, ["https://a/2"]), sleep=waits.append)
+    assert [(k, u, last) for k, u, _, last in source.pages("https://a/1")] == [(0, "https://a/1", False), (1, "https://a/2", False), (2, "https://a/3", True)] and waits == [0.5]
+    for bad in ({"https://a/1": "https://b/2"}, {"https://a/1": "https://a/1"}):
+        with pytest.raises(connector.SourceError):
+            list(connector.PagedSource(linked(bad)).pages("https://a/1"))
+    with pytest.raises(connector.SourceError):
+        connector.PagedSource(lambda u: (404, "", None)).read("https://a/1")
+    kept = {}
+    broken = connector.PagedSource(linked(urls, ["https://a/3"] * 9), attempts=2, sleep=waits.append)
+    with pytest.raises(connector.SourceError):
+        connector.keep_pages(broken, "r", "https://a/1", kept.get, kept.__setitem__)
+    asked = []
+    again = connector.PagedSource(lambda u: (asked.append(u), linked(urls)(u))[1])
+    assert connector.keep_pages(again, "r", "https://a/1", kept.get, kept.__setitem__) == 3 and asked == ["https://a/3"]
+    assert connector.keep_pages(again, "r", "https://a/1", kept.get, kept.__setitem__) == 3 and asked == ["https://a/3"]
+
+
+def test_connector_rows(spark):
+    from tidemark.sources import connector
+
+    plan = spark.createDataFrame([(f"r{k}", f"https://a/{k}") for k in range(5)], "request_id string, url string")
+    got = connector.PagedSource(connector.mock).rows(plan, 3).collect()
+    assert sorted(r["request_id"] for r in got) == [f"r{k}" for k in range(5)] and all(r["is_last"] for r in got)
+
+
+def test_gate_before_publish(spark, tmp_path):
+    results = spark.createDataFrame([("a", "passed"), ("b", "warning")], "rule string, status string")
+    with pytest.raises(sinks.GateError):
+        sinks.publish_checked({"t": spark.range(1)}, str(tmp_path), "r1", results)
+    sinks.publish_checked({"t": spark.range(1)}, str(tmp_path), "r1", results, ("b",))
+    with pytest.raises(sinks.GateError):
+        sinks.publish_checked({"t": spark.range(1)}, str(tmp_path), "r2", results.withColumn("status", F.lit("failed")))

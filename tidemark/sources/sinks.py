@@ -74,6 +74,19 @@ def publish(tables: dict[str, DataFrame], root: str, release: str) -> None:
     put_text(spark, f"{root}/CURRENT", json.dumps({"release": release, "tables": sorted(tables)}))
 
 
+class GateError(ValueError):
+    """Checks don't allow a release."""
+
+
+def publish_checked(tables: dict[str, DataFrame], root: str, release: str, results: DataFrame, accepted: tuple[str, ...] = ()) -> None:
+    """publish(), if no rule of results (rule, status) failed and every warning is named in accepted."""
+    bad = [r["rule"] for r in results.where("status = 'failed'").select("rule").limit(20).collect()]
+    open_ = [r["rule"] for r in results.where(F.col("status") == "warning").select("rule").limit(1000).collect() if r["rule"] not in accepted]
+    if bad or open_:
+        raise GateError(f"failed: {bad}, warnings: {open_}")
+    publish(tables, root, release)
+
+
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the published release; an error before anything is published, or for a table outside of it."""
     text = get_text(spark, f"{root}/CURRENT")
