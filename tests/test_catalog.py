@@ -21,3 +21,12 @@ def test_entry_and_registry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries()) and set(catalog.queries()) <= set(entry.queries())
     assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"lifecycle_cluster"}
+
+
+def test_registry_needs_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parent.parent, check=True, timeout=120)

@@ -115,19 +115,20 @@ def null_profile(spark, d):
     return quality.null_profile(t(spark, d, "orders"), ["o_custkey", "o_orderstatus"])
 
 
-ISSUES = {"not_positive": P.sure(F.col("c_acctbal") <= 0), "odd_segment": F.col("c_mktsegment").isin("MACHINERY"), "untrimmed": ~S.is_trimmed_text("c_name")}
+def customer_issues():
+    return {"not_positive": P.sure(F.col("c_acctbal") <= 0), "odd_segment": F.col("c_mktsegment").isin("MACHINERY"), "untrimmed": ~S.is_trimmed_text("c_name")}
 
 
 @query("""select 'not_positive' as issue, count(*) filter (where c_acctbal <= 0) as n_rows from customer
   union all select 'odd_segment', count(*) filter (where c_mktsegment = 'MACHINERY') from customer union all select 'untrimmed', count(*) filter (where c_name <> trim(c_name) or c_name = '') from customer""")
 def row_contract_violations(spark, d):
-    return quality.issue_counts(t(spark, d, "customer"), ISSUES)
+    return quality.issue_counts(t(spark, d, "customer"), customer_issues())
 
 
 @query("""select c_custkey, concat_ws(',', case when c_acctbal <= 0 then 'not_positive' end, case when c_mktsegment = 'MACHINERY' then 'odd_segment' end) as issues
   from customer where c_acctbal <= 0 or c_mktsegment = 'MACHINERY'""")
 def quarantine_split(spark, d):
-    _, bad = quality.quarantine(t(spark, d, "customer"), ISSUES)
+    _, bad = quality.quarantine(t(spark, d, "customer"), customer_issues())
     return bad.select("c_custkey", F.array_join("issues", ",").alias("issues"))
 
 
