@@ -27,6 +27,18 @@ def new_york_date(ts: str | Column) -> Column:
     return F.to_date(F.from_utc_timestamp(col(ts).cast("timestamp"), NEW_YORK))
 
 
+def order_key(time: str | Column, tie: str | Column, kind: str) -> Column:
+    """One number that orders by (time, tie): unlike a struct, a hash aggregate can keep it in its buffer, so
+    min_by and max_by need no sort before the shuffle. kind: the type of time; tie: any long."""
+    if kind == "timestamp_ntz":
+        units = F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), col(time))
+    elif kind == "timestamp":
+        units = F.unix_micros(col(time))
+    else:
+        units = col(time).cast("long")
+    return (units.cast("decimal(19,0)") * F.lit(str(1 << 64)).cast("decimal(20,0)")).cast("decimal(38,0)") + col(tie).cast("decimal(19,0)")
+
+
 def session_bounds_ns(day: str | Column) -> tuple[Column, Column]:
     """Epoch nanoseconds of New York midnight of a date and of the day after; aware of daylight saving."""
     at = lambda d: F.unix_micros(F.to_utc_timestamp(d.cast("timestamp"), NEW_YORK)) * 1000

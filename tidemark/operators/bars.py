@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import bad_prices, broken_envelope, count_true, in_window, sure
-from ..functions.scalar import is_trimmed_text, on_grid
+from ..functions.scalar import is_trimmed_text, on_grid, order_key
 
 
 def ohlc(df: DataFrame, keys: list[str], time: str, tie: str, price: str, high: str | None = None, low: str | None = None, close: str | None = None, volume: str | None = None) -> DataFrame:
-    """First open, highest high, lowest low, last close by (time, tie), and counts; one shuffle, combined before it."""
-    order = F.struct(time, tie)
+    """First open, highest high, lowest low, last close by (time, tie), and counts; one shuffle, hashed together before it.
+
+    time: a timestamp or a long; tie: a long.
+    """
+    order = order_key(time, tie, dict(df.dtypes)[time])
     out = [
         F.min_by(price, order).alias("open"), F.max(high or price).alias("high"), F.min(low or price).alias("low"),
         F.max_by(close or price, order).alias("close"), F.count("*").alias("n_bars"),
