@@ -21,7 +21,7 @@ TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48
 
 
 #: Bytes of a word that make its stems: inflected forms share weights.
-STEMS = (4, 5, 6, 7)
+STEMS = (4, 5, 6, 7, 8)
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -94,7 +94,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int | None = None, bits: i
     """Sparse weights; without both labels, none and a bias that says what share is 1."""
     if len(set(labels.tolist())) < 2:
         return np.zeros(0, np.int32), np.zeros(0, np.float32), float(np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5)))
-    epochs = epochs or int(np.clip(36_000 / len(texts), 6, 20))
+    epochs = epochs or int(np.clip(60_000 / len(texts), 6, 20))
     found = []
     for t in texts:
         h = tokens(t)
