@@ -22,8 +22,14 @@ from pyspark.sql import functions as F
 
 from .common import Spans, cut, per_batch, slices, typed, word_hashes, words
 
-#: Suffixes in a subtree, on average: some 60 MB of arrays.
-SUBTREE = 1_000_000
+#: Suffixes in a subtree, on average: some 120 MB of arrays.
+SUBTREE = 2_000_000
+#: Bits of a text's mark that travel; it only tells apart different texts of one doc_id.
+MARK = 24
+#: Low bits of a span that hold its length; no run is longer than half of what they hold.
+LENGTH = 24
+#: Most partitions of the one shuffle; beyond them a task walks several subtrees, one after the other.
+PARTITIONS = 1 << 15
 #: Words that a mapper folds at a time.
 FOLD = 1_000_000
 #: A word is frequent from this share of all words on, so the census has 4,096 rows at most.
@@ -105,9 +111,9 @@ def key_bytes(total: int) -> int:
 
 
 def repeats(docs: DataFrame, width: int = 13) -> DataFrame:
-    """(doc_id, mark, start, length): maximal runs of word positions that start a window also in a smaller doc_id.
+    """(doc_id, mark, span): maximal runs of word positions that start a window also in a smaller doc_id.
 
-    docs: doc_id, text, mark (a digest of the text). Rows without doc_id or text give and take nothing.
+    docs: doc_id, text, mark (MARK bits of a digest of the text). span: first position, then LENGTH bits of the run's length. Rows without doc_id or text give and take nothing.
     """
     spark = docs.sparkSession
     total, often = census(docs)
@@ -150,12 +156,12 @@ def repeats(docs: DataFrame, width: int = 13) -> DataFrame:
         step = np.where(fresh, f.pos[which], np.diff(f.pos[which], prepend=0))
         new = np.flatnonzero(fresh)
         change = np.diff(f.id[which][new], prepend=0)
-        return np.array([len(new)], np.int64).tobytes() + split_bytes(change.astype(np.int64), 8) + f.mark[which][new].tobytes() + np.diff(new, append=len(which)).astype(np.int32).tobytes() + split_bytes(step.astype(np.int64), 4)
+        return np.array([len(new)], np.int64).tobytes() + split_bytes(change.astype(np.int64), 8) + split_bytes(f.mark[which][new], MARK // 8) + np.diff(new, append=len(which)).astype(np.int32).tobytes() + split_bytes(step.astype(np.int64), 4)
 
     source = docs.select("doc_id", "text", "mark").where("doc_id is not null and text is not null")
     schema = "grp long, leaves binary"
-    sent = source.mapInArrow(typed(leaves, schema), schema).repartition(groups, "grp").sortWithinPartitions("grp")
-    schema = "doc_id long, mark long, start int, length int"
+    sent = source.mapInArrow(typed(leaves, schema), schema).repartition(min(groups, PARTITIONS), "grp").sortWithinPartitions("grp")
+    schema = "doc_id long, mark long, span long"
     return sent.mapInArrow(typed(lambda batches: subtrees(batches, keep), schema), schema)
 
 
@@ -165,8 +171,8 @@ def unpacked(raw: memoryview, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     at = 8
     change = joined_bytes(raw[at : at + 8 * new], new, 8).view(np.int64)
     at += 8 * new
-    mark = np.frombuffer(raw[at : at + 8 * new], np.int64)
-    at += 8 * new
+    mark = joined_bytes(raw[at : at + MARK // 8 * new], new, MARK // 8).view(np.int64)
+    at += MARK // 8 * new
     lengths = np.frombuffer(raw[at : at + 4 * new], np.int32)
     at += 4 * new
     step = joined_bytes(raw[at : at + 4 * n], n, 4).astype(np.int64)
@@ -211,15 +217,15 @@ def subtrees(batches, keep: int):
 
 
 def runs(ids: np.ndarray, mark: np.ndarray, pos: np.ndarray):
-    """Consecutive positions of one document as (doc_id, mark, start, length)."""
+    """Consecutive positions of one document as (doc_id, mark, span)."""
     if not len(ids):
         return
     order = np.lexsort((pos, mark, ids))
     ids, mark, pos = ids[order], mark[order], pos[order]
-    new = np.concatenate([[True], (np.diff(pos) > 1) | (np.diff(ids) != 0) | (np.diff(mark) != 0)])
+    new = np.concatenate([[True], (np.diff(pos) > 1) | (pos[1:] % (1 << LENGTH - 1) == 0) | (np.diff(ids) != 0) | (np.diff(mark) != 0)])
     at = np.flatnonzero(new)
     last = np.append(at[1:], len(pos)) - 1
-    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(mark[at]), pa.array(pos[at].astype(np.int32)), pa.array((pos[last] - pos[at] + 1).astype(np.int32))], ["doc_id", "mark", "start", "length"])
+    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(mark[at]), pa.array((pos[at] << LENGTH) | (pos[last] - pos[at] + 1))], ["doc_id", "mark", "span"])
 
 
 def without_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
@@ -230,23 +236,23 @@ def without_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
     words. Rows without doc_id are left as they are and make no other row repeat. Rows of equal doc_id
     don't make each other repeat. A document's spans are bounded by its own length.
     """
-    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
-    spans = repeats(marked, width).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("spans.start").alias("starts"), F.col("spans.length").alias("lengths"))
+    marked = docs.select("doc_id", "text", F.xxhash64("text").bitwiseAND(F.lit((1 << MARK) - 1)).alias("mark"))
+    spans = repeats(marked, width).groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list("span").alias("spans"))
     rows = marked.join(spans, (F.col("doc_id") == F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
-    return per_batch(rows, ["doc_id", "text", "starts", "lengths"], schema, lambda *cols: strip(*cols, width))
+    return per_batch(rows, ["doc_id", "text", "spans"], schema, lambda *cols: strip(*cols, width))
 
 
-def strip(ids, texts, starts, lengths, width: int) -> dict:
+def strip(ids, texts, spans, width: int) -> dict:
     out = {"doc_id": ids, "n_words": [], "n_removed": [], "kept_text": []}
-    for t, s, k in zip(texts, starts, lengths, strict=True):
+    for t, found in zip(texts, spans, strict=True):
         ws = words(t)
         kept = ws
-        if s:
+        if found:
+            s = np.array(found, np.int64)
             edge = np.zeros(len(ws) + 1, np.int64)
-            np.add.at(edge, s, 1)
-            np.add.at(edge, np.array(s) + np.array(k) + width - 1, -1)
+            np.add.at(edge, s >> LENGTH, 1)
+            np.add.at(edge, (s >> LENGTH) + (s & (1 << LENGTH) - 1) + width - 1, -1)
             stay = np.cumsum(edge)[:-1] == 0
             kept = [w for w, x in zip(ws, stay.tolist(), strict=True) if x]
         out["n_words"].append(len(ws))
