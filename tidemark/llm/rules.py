@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Spans, collect_sample, labelled_sample, per_batch, word_hashes, words
+from .common import Spans, collect_sample, labelled_sample, per_batch, word_hashes
 
 #: Fixed by the definition of the base statistics.
 SYMBOLS, WINDOW = b"#*$%&|<>", 8

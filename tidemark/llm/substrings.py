@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Spans, cut, per_batch, slices, typed, word_hashes, words
+from .common import Spans, per_batch, slices, typed, word_hashes, words
 
 #: Suffixes in a subtree, on average: some 120 MB of arrays.
 SUBTREE = 2_000_000
