@@ -3,7 +3,7 @@
 A document is the average of learned vectors: one for each hashed word, for the character n-grams of the
 word, for word pairs, and for words that only repeat what the text said before. A softmax layer reads the
 average; both are trained together by stochastic gradient descent in numpy. As scoring is linear in the
-average, each bucket's vector is projected on the output once and a word's share is kept by spelling.
+average, each bucket's vector is projected on the output once and each spelling of a batch is worked out once.
 """
 
 from __future__ import annotations
@@ -14,21 +14,35 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import collect_sample, fold, labelled_sample, mix64, per_batch
+from .common import collect_sample, fold, labelled_sample, mix64, per_batch, words
 
 BITS, DIM = 17, 8
 NGRAMS = (2, 3)
 #: Features of repeats: the word before again, a word trigram again. They lie above the hashed buckets.
 AGAIN, TRIGRAM = 1 << BITS, (1 << BITS) + 1
-#: Spellings whose features a worker keeps.
-KEPT = 200_000
-
-
-def subwords(word: bytes) -> list[int]:
-    """Buckets of a word and of its character n-grams, with < and > as its ends."""
-    w = b"<" + word[:64] + b">"
-    grams = [zlib.crc32(w[i : i + n], n) for n in NGRAMS for i in range(len(w) - n + 1)]
-    return [x & ((1 << BITS) - 1) for x in [zlib.crc32(word), *grams]]
+#: Bytes of a word that its n-grams are taken from.
+LONGEST = 64
+
+
+def subwords(ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words and of their character n-grams, with < and > as a word's ends, and the word that each is of."""
+    lengths = np.fromiter((min(len(w), LONGEST) + 2 for w in ws), np.int64, len(ws))
+    raw = np.frombuffer(b"".join([b"<" + w[:LONGEST] + b">" for w in ws]), np.uint8).astype(np.uint64)
+    of = np.repeat(np.arange(len(ws)), lengths)
+    end = np.cumsum(lengths)[of]
+    buckets, owners = [crcs(ws).astype(np.int64) & ((1 << BITS) - 1)], [np.arange(len(ws))]
+    for n in NGRAMS:
+        at = np.flatnonzero(np.arange(len(raw)) + n <= end)
+        x = np.full(len(at), n, np.uint64)
+        for k in range(n):
+            x = x * np.uint64(257) + raw[at + k]
+        buckets.append((mix64(x) >> np.uint64(64 - BITS)).astype(np.int64))
+        owners.append(of[at])
+    return np.concatenate(buckets), np.concatenate(owners)
+
+
+def crcs(ws: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, ws), np.uint64, len(ws))
 
 
 def pair_buckets(h: np.ndarray) -> np.ndarray:
@@ -43,28 +57,14 @@ def repeats(h: np.ndarray) -> tuple[int, int]:
     return int((h[1:] == h[:-1]).sum()), len(tri) - len(np.unique(tri))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "replace").split() if text else []
-
-
-def hashed(ws: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, ws), np.uint64, len(ws))
-
-
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and the share of the average that each has."""
-    ws = words_of(text)
-    h = hashed(ws)
-    found: list[int] = []
-    for w in ws:
-        found += subwords(w)
-    x = np.concatenate([np.array(found, np.int64), pair_buckets(h) if len(h) > 1 else np.zeros(0, np.int64)])
+    ws = words(text)
+    h = crcs(ws)
+    x = np.concatenate([subwords(ws)[0], pair_buckets(h)]) if ws else np.zeros(0, np.int64)
     u, n = np.unique(x, return_counts=True)
     again, tri = repeats(h)
-    u, n = np.append(u, [AGAIN, TRIGRAM]), np.append(n, [again, tri]).astype(np.float64)
-    weight = n / max(1, len(x))
-    weight[-2:] = np.array([again, tri]) / max(1, len(h))
-    return u, weight
+    return np.append(u, [AGAIN, TRIGRAM]), np.append(n / max(1, len(x)), np.array([again, tri]) / max(1, len(h)))
 
 
 def fit(texts: list[str], labels: np.ndarray, epochs: int | None = None, rate: float = 0.5, seed: int = 3):
@@ -102,30 +102,35 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int | None = None, rate: f
 LIFT = 20.0
 
 
-def score_lists(texts: list, value: np.ndarray, bias: float, kept: dict) -> np.ndarray:
-    """The probability of label 1 for each text; texts without words get that of the bias."""
-    scores = np.full(len(texts), bias)
+def score_lists(texts: list, value: np.ndarray, bias: float) -> np.ndarray:
+    """The probability of label 1 for each text; texts without words get that of the bias.
+
+    Each spelling of the batch is worked out once; its share of a text's sum is then a lookup.
+    """
+    index: dict[bytes, int] = {}
+    number = index.setdefault
+    ids, lengths = [], np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
-        ws = words_of(t)
-        if not ws:
-            continue
-        h = hashed(ws)
-        total, n = 0.0, max(0, len(h) - 1)
-        try:
-            got = [kept[w] for w in ws]
-        except KeyError:
-            if len(kept) > KEPT:
-                kept.clear()
-            for w in ws:
-                if w not in kept:
-                    x = subwords(w)
-                    kept[w] = (float(value[x].sum()), len(x))
-            got = [kept[w] for w in ws]
-        total, count = map(sum, zip(*got))
-        if n:
-            total += float(value[pair_buckets(h)].sum())
-        again, tri = repeats(h)
-        scores[i] += total / (count + n) + (again * value[AGAIN] + tri * value[TRIGRAM]) / len(h)
+        ws = words(t)
+        lengths[i] = len(ws)
+        ids += [number(w, len(index)) for w in ws]
+    scores = np.full(len(texts), bias)
+    if ids:
+        spelled = list(index)
+        at = np.array(ids, np.int64)
+        buckets, owners = subwords(spelled)
+        sums, counts = np.bincount(owners, value[buckets], len(spelled)), np.bincount(owners, minlength=len(spelled))
+        h, doc = crcs(spelled)[at], np.repeat(np.arange(len(texts)), lengths)
+        total, n = np.bincount(doc, sums[at], len(texts)), np.bincount(doc, counts[at], len(texts))
+        inside = doc[1:] == doc[:-1]
+        total += np.bincount(doc[1:][inside], value[pair_buckets(h)[inside]], len(texts))
+        n += np.maximum(lengths - 1, 0)
+        some = np.flatnonzero(lengths)
+        scores[some] += total[some] / n[some]
+        end = np.cumsum(lengths)
+        for i in some.tolist():
+            again, tri = repeats(h[end[i] - lengths[i] : end[i]])
+            scores[i] += (again * value[AGAIN] + tri * value[TRIGRAM]) / lengths[i]
     return 1.0 / (1.0 + np.exp(-np.clip(scores, -35, 35)))
 
 
@@ -139,6 +144,5 @@ def quality(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_chars:
     sample = labelled_sample(docs, labels, "quality", max_rows, max_chars, fold("doc_id", folds) != held)
     texts, y = collect_sample(sample)
     model = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
-    kept: dict = {}
-    rows = per_batch(docs, ["doc_id", "text"], "doc_id long, score double", lambda ids, texts: {"doc_id": ids, "score": score_lists(texts, *model.value, kept)})
+    rows = per_batch(docs, ["doc_id", "text"], "doc_id long, score double", lambda ids, texts: {"doc_id": ids, "score": score_lists(texts, *model.value)})
     return rows.select("doc_id", F.coalesce(fold("doc_id", folds) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
