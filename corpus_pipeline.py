@@ -10,7 +10,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, mixing, sharding, simhash, toxicity
+from tidemark.llm import decontam, mixing, sharding, shingles, toxicity
 from tidemark.llm.common import checkpoint_dir, table
 
 
@@ -20,8 +20,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: that of the least doc_id."""
-    return simhash.keep_one(docs, 2)
+    """One document of each component of five-word Jaccard 0.8 or more stays: that of the least doc_id."""
+    return shingles.keep_one(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

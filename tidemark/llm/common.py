@@ -120,7 +120,7 @@ def slices(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[pa.RecordBatc
 
 
 #: Spark names of the types that the operators return, as Arrow types.
-ARROW = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
+ARROW = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
 
 def typed(run, schema: str):

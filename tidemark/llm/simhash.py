@@ -218,13 +218,18 @@ def hex_of(column) -> F.Column:
 
 
 def keep_one(docs: DataFrame, radius: int = 2) -> DataFrame:
-    """The rows of docs, all columns, with one row of each component: that of its least doc_id.
+    """The rows of docs, all columns, with one row of each component: that of its least doc_id."""
+    found = simhash_components(docs, radius)
+    return keep_heads(docs, found.where("doc_id = component_id").select("doc_id").distinct())
+
+
+def keep_heads(docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, whose doc_id is in heads (doc_id).
 
     Of several rows with that doc_id, the one with the least row digest stays. Rows without doc_id can't be
     told apart and stay. Texts move once, in the join keyed by doc_id.
     """
-    found = simhash_components(docs, radius)
-    heads = found.where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
+    heads = heads.select(F.col("doc_id").alias("_head"))
     order = W.partitionBy("doc_id").orderBy("_digest")
     named = docs.where("doc_id is not null").join(heads, F.col("doc_id") == F.col("_head"), "left_semi")
     rows = named.withColumn("_digest", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
