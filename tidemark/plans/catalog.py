@@ -171,7 +171,7 @@ def figi_reasons(spark, d):
     k = F.col("o_orderkey") % 7
     padded = F.lpad(F.col("o_orderkey").cast("string"), 9, "0")
     made = F.when(k == 1, "").when(k == 2, " 　").when(k == 3, " BBG").when((k == 4) & (F.col("o_orderkey") < 10), "BBG1").when(k == 4, F.concat(F.lit("BBG"), padded)).when(k == 5, "bbg000000001").when(k == 6, "ABC000000001")
-    return t(spark, d, "orders").where("o_orderkey < 9000").select("o_orderkey", S.figi_reason(made).alias("reason"))
+    return t(spark, d, "orders").select("o_orderkey", S.figi_reason(made).alias("reason"))
 
 
 # --- joins and reconciliation ---------------------------------------------------------------------------------
