@@ -20,24 +20,31 @@ BITS, DIM = 17, 8
 NGRAMS = (2, 3)
 #: Features of repeats: the word before again, a word trigram again. They lie above the hashed buckets.
 AGAIN, TRIGRAM = 1 << BITS, (1 << BITS) + 1
-#: Bytes of a word that its n-grams are taken from.
-LONGEST = 64
+#: Bytes that n-grams are taken from at a time, so that long words take bounded memory.
+PIECE = 1 << 18
+
+
+def subword_pieces(ws: list[bytes]):
+    """Buckets of words and of their character n-grams, with < and > as a word's ends, and the word that each is of, in pieces."""
+    yield crcs(ws).astype(np.int64) & ((1 << BITS) - 1), np.arange(len(ws))
+    lengths = np.fromiter((len(w) + 2 for w in ws), np.int64, len(ws))
+    raw, ends = np.frombuffer(b"".join([b"<" + w + b">" for w in ws]), np.uint8), np.cumsum(lengths)
+    for lo in range(0, len(raw), PIECE):
+        hi = min(lo + PIECE, len(raw))
+        first, last = np.searchsorted(ends, [lo, hi - 1], "right") + [0, 1]
+        some = ends[first:last]
+        of = np.repeat(np.arange(first, last), np.minimum(some, hi) - np.maximum(some - lengths[first:last], lo))
+        part = raw[lo : hi + max(NGRAMS) - 1].astype(np.uint64)
+        for n in NGRAMS:
+            at = np.flatnonzero(np.arange(lo, hi) + n <= ends[of])
+            x = np.full(len(at), n, np.uint64)
+            for k in range(n):
+                x = x * np.uint64(257) + part[at + k]
+            yield (mix64(x) >> np.uint64(64 - BITS)).astype(np.int64), of[at]
 
 
 def subwords(ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of words and of their character n-grams, with < and > as a word's ends, and the word that each is of."""
-    lengths = np.fromiter((min(len(w), LONGEST) + 2 for w in ws), np.int64, len(ws))
-    raw = np.frombuffer(b"".join([b"<" + w[:LONGEST] + b">" for w in ws]), np.uint8).astype(np.uint64)
-    of = np.repeat(np.arange(len(ws)), lengths)
-    end = np.cumsum(lengths)[of]
-    buckets, owners = [crcs(ws).astype(np.int64) & ((1 << BITS) - 1)], [np.arange(len(ws))]
-    for n in NGRAMS:
-        at = np.flatnonzero(np.arange(len(raw)) + n <= end)
-        x = np.full(len(at), n, np.uint64)
-        for k in range(n):
-            x = x * np.uint64(257) + raw[at + k]
-        buckets.append((mix64(x) >> np.uint64(64 - BITS)).astype(np.int64))
-        owners.append(of[at])
+    buckets, owners = zip(*subword_pieces(ws))
     return np.concatenate(buckets), np.concatenate(owners)
 
 
@@ -118,8 +125,12 @@ def score_lists(texts: list, value: np.ndarray, bias: float) -> np.ndarray:
     if ids:
         spelled = list(index)
         at = np.array(ids, np.int64)
-        buckets, owners = subwords(spelled)
-        sums, counts = np.bincount(owners, value[buckets], len(spelled)), np.bincount(owners, minlength=len(spelled))
+        sums, counts = np.zeros(len(spelled)), np.zeros(len(spelled), np.int64)
+        for buckets, owners in subword_pieces(spelled):
+            low = int(owners.min(initial=len(spelled)))  # a piece of one long word touches few words
+            got = np.bincount(owners - low)
+            counts[low : low + len(got)] += got
+            sums[low : low + len(got)] += np.bincount(owners - low, value[buckets])
         h, doc = crcs(spelled)[at], np.repeat(np.arange(len(texts)), lengths)
         total, n = np.bincount(doc, sums[at], len(texts)), np.bincount(doc, counts[at], len(texts))
         inside = doc[1:] == doc[:-1]
