@@ -49,9 +49,38 @@ def test_groups_and_chains(spark, docs_of, monkeypatch):
     limit = [" ".join(f"l{i}" for i in range(k)) for k in (44, 54, 55)]  # 40, 50 and 51 shingles: 0.8 and just below
     rows = list(enumerate([*EDGES, *group, *chain, *limit]))
     want = plain_heads(rows)
-    for frequent in (1 << 18, 0):  # another order of grams, the same result
+    for frequent, block in ((1 << 18, 4096), (0, 4096), (1 << 18, 8)):  # another order of grams, keys beyond a block: the same result
         monkeypatch.setattr(shingles, "FREQUENT", frequent)
-        got = {r["doc_id"]: r["component_id"] for r in shingles.shingle_components(docs_of([t for _, t in rows])).collect()}
+        got = {r["doc_id"]: r["component_id"] for r in shingles.shingle_components(docs_of([t for _, t in rows]), block).collect()}
         assert got == want
     assert len(set(want[i] for i in range(len(EDGES), len(EDGES) + len(group)))) == 1
     assert shingles.keep_one(docs_of([(None, "q"), (None, "q"), (3, "q"), (4, "Q")])).count() == 3
+
+
+def test_giant_root_is_not_compared_with_itself(spark):
+    """A token of 40 rows of one root and 5 others in units of 8: each giant unit meets the others alone, and every pair across is in a group."""
+    from itertools import combinations
+
+    rows = [(1, 7 if k < 40 else 100 + k, k) for k in range(45)] + [(2, k, k) for k in range(3)]
+    got = shingles.in_blocks(spark.createDataFrame(rows, "token long, root long, node long"), 8).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r["grp"], []).append((r["token"], r["root"], r["node"], r["side"]))
+    met = {(x[0], *sorted((x[2], y[2]))) for g in groups.values() for x, y in combinations(g, 2) if x[1] != y[1] and (x[3] == 0 or x[3] != y[3])}
+    assert met == {(t, *sorted((a, b))) for t, r, a in rows for u, s, b in rows if t == u and r != s}
+    assert len(got) <= 40 + 5 * 6 + 3 and max(map(len, groups.values())) <= 32
+
+
+def test_fingerprints_of_near_sets():
+    """Pairs at the limit differ in far fewer bits than the radius, unrelated sets in far more."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n in (4, 40, 400):
+        near, far = [], []
+        for _ in range(200):
+            x = np.unique(rng.integers(0, 2**63, 2 * n).astype(np.uint64))
+            a, b = x[:n], np.concatenate([x[n // 5 if n > 4 else 0 : n], x[n : n + 1]])
+            near.append(sum(int(u ^ v).bit_count() for u, v in zip(shingles.wide(a).view(np.uint64), shingles.wide(b).view(np.uint64))))
+            far.append(sum(int(u ^ v).bit_count() for u, v in zip(shingles.wide(a).view(np.uint64), shingles.wide(x[n:]).view(np.uint64))))
+        assert max(near) <= shingles.RADIUS and (n == 4 or min(far) > shingles.RADIUS)

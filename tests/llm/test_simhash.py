@@ -100,3 +100,35 @@ def test_lanes(values, radius):
         got = simhash.linked_lanes(planes, shift, valid, radius)
         want = sum(1 << i for i in range(len(values) - shift) if (values[i] ^ values[i + shift]).bit_count() <= radius)
         assert got == want
+
+
+def test_components_as_union_find(spark):
+    """Chains, stars and repeated edges, contracted in one task and by star joins."""
+    from tidemark.llm.components import star_components
+
+    rng = np.random.default_rng(3)
+    edges = [(int(a), int(b)) for a, b in rng.integers(-300, 300, (260, 2))] + [(k, k + 1) for k in range(1000, 1060)] + [(5000, k) for k in range(5001, 5090)] + [(7, 7), (9, 8), (8, 9)]
+    root = {x: x for e in edges for x in e}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        p, q = sorted((top(a), top(b)))
+        root[q] = p
+    want = {x: top(x) for x in root if any(a != b and x in (a, b) for a, b in edges)}
+    for task in (1 << 20, 16):
+        got = star_components(spark.createDataFrame(edges, "a long, b long").repartition(5), task=task).collect()
+        assert {r["node"]: r["root"] for r in got} == want and len(got) == len(want)
+
+
+def test_keep_one_beside_clashing_names(spark, docs_of, monkeypatch):
+    df = docs_of(["a b c d", "a b c d", (1, "a b c d"), (0, "a b c d"), (9, None)])
+    for c in ("_digest", "_head", "_rank", "_id", "_ID_"):
+        df = df.withColumn(c, df["count"])
+    for few in (simhash.FEW, 0):
+        monkeypatch.setattr(simhash, "FEW", few)
+        got = simhash.keep_one(df)
+        assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [0, 9]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -53,10 +54,12 @@ class Spans:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; one of our own only where none is named."""
+    """The shared folder the session names; one of our own only on a local master, where none is named."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", sc.master):
+            raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="tidemark-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
@@ -69,6 +72,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

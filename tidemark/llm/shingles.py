@@ -1,10 +1,15 @@
-"""Near duplicates by the Jaccard similarity of word shingles, joined exactly.
-
-Grams are put in one order over all texts, those frequent in a sample last. Two sets of a similarity of at
-least PERCENT share a gram among the first n - ceil(n * PERCENT / 100) + 1 of each, so only those grams are
-joined and no pair is lost; the sample changes the order and the cost, never the result. Candidates are
-checked on whole sets. A first round links each class to the least class under a gram, which joins large
-groups at a cost linear in them; a second takes all candidates that still lie in different components.
+"""SimHash near-duplicates at a Jaccard similarity of five-word shingles, in bit-sliced blocks.
+
+A text's fingerprint is the majority of 256 bits over its distinct shingles. Two sets of a similarity of
+PERCENT differ in about 39 of them (48 at worst, for sets of four and five) with a deviation of 6, unrelated sets
+in 128 with a deviation of 8; RADIUS lies 6.5 deviations above the first, a chance of 1e-10 at the very limit to
+miss a pair, and 5 below the second. Blocks that are compared hold the texts of one shingle: shingles are put in one
+order over all texts, those frequent in a sample last, and two sets of that similarity share one among the first
+n - ceil(n * PERCENT / 100) + 1 of each, so no pair is lost; the sample changes the order and the cost, never
+the result. Pairs within the radius are checked on whole sets.
+
+A first round only takes the links of least spanning forests, so a large group of near copies gives one link a
+text; a second takes all pairs that still lie apart, and checks the nearest of two components first.
 """
 
 from __future__ import annotations
@@ -16,17 +21,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, per_batch, word_hashes
+from .common import cut, mix64, per_batch, typed, word_hashes
 from .components import star_components
-from .simhash import keep_heads
+from .simhash import BITS, BLOCK, block_links, by_group, keep_heads
 
 WIDTH, PERCENT = 5, 80
+#: Bits that may differ.
+RADIUS = 88
+#: How the shares grow that are checked of the pairs between two components, and into how many orders these are dealt.
+GROWTH, SALT = 8, 4
 #: Rows that the order of grams is learned from, and the most grams that it puts last.
 SAMPLE, FREQUENT = 1 << 14, 1 << 18
 #: Slots of the bit set that tells which texts are worked out again for the check.
 SLOTS = 1 << 22
-#: Bytes of a sketch: how many grams fall into each bucket, 255 at most.
-SKETCH = 256
+WORDS = ["f0", "f1", "f2", "f3"]
 
 
 def grams(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -59,8 +67,15 @@ def prefix(g: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarra
     return g[:keep]
 
 
-def sketch(g: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((g % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+def wide(g: np.ndarray) -> np.ndarray:
+    """Four 64-bit words: bit b is set if it is set in over half of the hashes of g. No grams: zero."""
+    out = np.zeros(len(WORDS), np.int64)
+    for k in range(len(WORDS) if len(g) else 0):
+        h = mix64(g + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64))
+        at = h.view(np.uint8).reshape(-1, 8).astype(np.int64) + np.arange(0, 2048, 256)
+        ones = np.bincount(at.ravel(), minlength=2048).reshape(8, 256) @ BITS
+        out[k] = np.packbits(2 * ones > len(g), axis=1, bitorder="little").reshape(8).view(np.int64)[0]
+    return out
 
 
 def lists(parts: list[np.ndarray]) -> pa.Array:
@@ -81,14 +96,16 @@ def common_grams(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def marks_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, tokens, sketch) for every row: its set's name, size, first grams and sketch."""
+    """(doc_id, node, n, tokens, fingerprint) for every row: its set's name, size, first grams and 256 bits."""
     order = docs.sparkSession.sparkContext.broadcast(common_grams(docs))
 
     def work(ids, texts):
         sets = [grams(t) for t in texts]
-        return {"doc_id": ids, "node": [node_of(g) for g in sets], "n": [len(g) for g in sets], "tokens": lists([prefix(g, *order.value) for g in sets]), "sketch": [sketch(g) for g in sets]}
+        fps = np.array([wide(g) for g in sets], np.int64).reshape(-1, len(WORDS))
+        named = {"doc_id": ids, "node": [node_of(g) for g in sets], "n": [len(g) for g in sets], "tokens": lists([prefix(g, *order.value) for g in sets])}
+        return named | {f: fps[:, k] for k, f in enumerate(WORDS)}
 
-    return per_batch(docs, ["doc_id", "text"], "doc_id long, node long, n int, tokens array<long>, sketch binary", work)
+    return per_batch(docs, ["doc_id", "text"], "doc_id long, node long, n int, tokens array<long>, " + ", ".join(f"{f} long" for f in WORDS), work)
 
 
 def sets_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -122,43 +139,83 @@ def similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.where(F.col("same") * 100 >= (F.col("x") + F.col("y") - F.col("same")) * PERCENT).select("a", "b")
 
 
-def met_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b, na, nb, shared, pa, pb) of rows (a, na, pa, b, nb, pb), one for each gram in both prefixes: how many, and the last's places."""
-    sized = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT
-    swap = F.col("a") > F.col("b")
-    turned = [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("na", "nb"), ("pa", "pb"), ("b", "a"), ("nb", "na"), ("pb", "pa"))]
-    rows = rows.where(sized & (F.col("a") != F.col("b"))).select(*turned)
-    return rows.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+def in_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """rows (token, root, node, ...) with grp, side: the groups that together compare all rows of a token and of different root.
 
+    A token of up to a block of rows is one group. A larger one is dealt into units of about a block: roots that
+    exceed a block into units of their own, all others together. Each two units are a group, unless they
+    are of one root; a giant root is so read once for each unit that is not of it, not once for each of its own.
+    """
+    # grp is no mere name of token: a join by token before may not stand for the exchange by grp, as skewed joins are split
+    hot = cut(rows.groupBy("token").count().where(F.col("count") > block).select("token"))
+    if not hot.take(1):
+        return rows.withColumn("grp", F.xxhash64("token")).withColumn("side", F.lit(0))
+    large = rows.join(hot, "token", "left_semi")
+    own = large.groupBy("token", "root").agg(F.count("*").alias("own"))
+    units = own.withColumn("giant", F.when(F.col("own") > block, F.col("root"))).groupBy("token", "giant").agg(F.sum("own").alias("held"))
+    units = cut(units.select("token", "giant", F.ceil(F.col("held") / block).cast("int").alias("parts")))
+    each = units.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("unit", F.xxhash64("giant", "part"))
+    pairs = each.join(each.select("token", F.col("giant").alias("_g"), F.col("unit").alias("_u")), "token").where("giant is null or _g is null or giant <> _g")
+    side = F.when(F.col("unit") == F.col("_u"), 0).when(F.col("unit") < F.col("_u"), 1).otherwise(2)
+    pairs = pairs.select("token", "unit", F.xxhash64("token", F.least("unit", "_u"), F.greatest("unit", "_u")).alias("grp"), side.alias("side"))
+    filed = large.join(own, ["token", "root"]).withColumn("giant", F.when(F.col("own") > block, F.col("root"))).drop("own")
+    filed = filed.join(units.select("token", F.col("giant").alias("_g"), "parts"), "token").where(F.col("giant").eqNullSafe(F.col("_g")))
+    filed = filed.withColumn("unit", F.xxhash64("giant", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))).drop("giant", "_g", "parts")
+    small = rows.join(hot, "token", "left_anti").withColumn("grp", F.xxhash64("token")).withColumn("side", F.lit(0))
+    return small.unionByName(filed.join(pairs, ["token", "unit"]).select(*small.columns))
+
+
+def candidates(rows: DataFrame, spanning: bool, block: int = BLOCK) -> DataFrame:
+    """(a, b, d) nodes of different root, d bits apart, under a token of both, of sizes and places that allow the similarity.
+
+    rows: token, root, node, n, pos and the fingerprint. If not spanning, every such pair within the radius is
+    there: under the first token that two similar sets share, no more than that one and the smaller rest can be
+    shared. Spanning: those of a least spanning forest in each block.
+    """
+    columns = ["grp", "side", "root", "node", "n", "pos", *WORDS]
+    dealt = in_blocks(rows, block).select(*columns).repartition("grp").sortWithinPartitions("grp", "node")
 
-def possible(pairs: DataFrame) -> DataFrame:
-    """(a, b) of met_pairs that may be similar: grams shared so far, and all that follow in the smaller rest, are enough.
+    def work(keys, side, root, node, n, pos, *words):
+        n, pos = n.astype(np.int64), pos.astype(np.int64)
 
-    Holds only if pairs count every gram in both prefixes.
-    """
-    most = F.col("shared") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    return pairs.where(most * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT).select("a", "b", "na", "nb")
+        def allowed(i, j):
+            sized = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * PERCENT
+            return sized & (np.minimum(n[i] - pos[i], n[j] - pos[j]) * (100 + PERCENT) >= (n[i] + n[j]) * PERCENT)
 
+        got = block_links(keys, np.stack(words, axis=1), RADIUS, root, side, allowed, spanning)
+        x, y = node[got[:, 0]], node[got[:, 1]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(got[:, 2], pa.int32())], ["a", "b", "d"])
 
-def sketched(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(a, b) of pairs (a, b, na, nb) whose sketches allow the similarity.
+    schema = "a long, b long, d int"
+    return dealt.mapInArrow(typed(lambda batches: by_group(batches, block, work), schema), schema).distinct()
 
-    No more grams are shared than the smaller count of each bucket adds up to; a full bucket tells nothing.
-    """
-    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    held = marks.select("node", "sketch").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch"))
-    both = pairs.join(held.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b")
 
-    def work(a, b, na, nb, x, y):
-        x, y = (np.frombuffer(b"".join(v), np.uint8).reshape(-1, SKETCH) for v in (x, y))
-        most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-        keep = (most * (100 + PERCENT) >= (np.array(na, np.int64) + np.array(nb, np.int64)) * PERCENT) | (x == 255).any(axis=1) | (y == 255).any(axis=1)
-        return {"a": np.array(a, np.int64)[keep], "b": np.array(b, np.int64)[keep]}
+def rooted(rows: DataFrame, roots: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
+    """rows with the root of a column of nodes, anew; a node without links is its own."""
+    found = roots.select(F.col("node").alias(node), F.col("root").alias("_found"))
+    return rows.drop(root).join(found, node, "left").withColumn(root, F.coalesce("_found", node)).drop("_found")
 
-    return per_batch(both, ["a", "b", "na", "nb", "x", "y"], "a long, b long", work)
 
+def joined(docs: DataFrame, links: DataFrame, pairs: DataFrame) -> DataFrame:
+    """links and the pairs (a, b, d) that are similar, except such as would join what others join already.
 
-def shingle_components(docs: DataFrame) -> DataFrame:
+    Of all pairs between two components the nearest are checked first, in shares that grow by GROWTH; pairs whose components
+    have met meanwhile need no check. In the end every pair is checked or inside one component.
+    """
+    share = 1
+    while True:
+        roots = star_components(links)
+        pairs = rooted(rooted(pairs, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
+        order = W.partitionBy(F.least("ra", "rb"), F.greatest("ra", "rb"), F.pmod(F.xxhash64("a", "b"), F.lit(SALT))).orderBy("d", "a", "b")
+        pairs = cut(pairs.withColumn("rank", F.row_number().over(order)))
+        if not pairs.take(1):
+            return links
+        links = cut(links.unionAll(similar(docs, pairs.where(F.col("rank") <= share).select("a", "b"))))
+        pairs = pairs.where(F.col("rank") > share).drop("rank")
+        share *= GROWTH
+
+
+def shingle_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, component_id) for every row of docs (doc_id, text, anything else).
 
     component_id is the least doc_id reachable over pairs of similarity PERCENT / 100 or more. Null and empty
@@ -166,33 +223,20 @@ def shingle_components(docs: DataFrame) -> DataFrame:
     id. Repeated rows stay repeated. An empty table gives an empty result.
     """
     marks = cut(marks_of(docs))
-    classes = marks.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    classes = cut(marks.groupBy("node").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("n", "tokens", *WORDS)]))
     rows = classes.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
-    by = W.partitionBy("token").orderBy("node")
-    rows = rows.withColumn("_before", F.lag("node").over(by)).withColumn("_after", F.lead("node").over(by))
-    shared = cut(rows.where("_before is not null or _after is not null").select("token", "node", "n", "pos"))
-    heads = shared.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("h"))
-    # Likely pairs only: what this round leaves out, the second takes up.
-    stars = met_pairs(shared.join(heads, "token").select(F.col("h.node").alias("a"), F.col("h.n").alias("na"), F.col("h.pos").alias("pa"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb")))
-    stars = cut(stars.where(F.col("shared") * 15 >= F.least("na", "nb")).select("a", "b"))
-    first = cut(similar(docs, stars))
-    roots = star_components(first)
-    placed = shared.join(roots, "node", "left").select("token", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
+    met = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("token")
+    shared = cut(rows.join(met, "token", "left_semi").select("token", "node", "n", "pos"))
+    prints = classes.select("node", *WORDS)  # travels with rows of shared grams alone
+    links = cut(similar(docs, candidates(shared.withColumn("root", F.col("node")).join(prints, "node"), True, block).select("a", "b")))
+    placed = rooted(shared, star_components(links))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    placed = cut(placed.join(mixed, "token", "left_semi"))
-    here = placed.select("token", "root").distinct()
-    met = here.select("token", F.col("root").alias("ra")).join(here.select("token", F.col("root").alias("rb")), "token").where("ra < rb")
-    side = lambda k: placed.select("token", F.col("root").alias(f"r{k}"), F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("pos").alias(f"p{k}"))
-    rest = possible(met_pairs(met.join(side("a"), ["token", "ra"]).join(side("b"), ["token", "rb"]))).join(stars, ["a", "b"], "left_anti")
-    rest = cut(sketched(cut(rest), marks))
-    roots = star_components(first.unionAll(similar(docs, rest)))
-    ids = marks.groupBy("node").agg(F.min("doc_id").alias("least"))
-    rooted = cut(ids.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
+    links = joined(docs, links, cut(candidates(placed.join(mixed, "token", "left_semi").join(prints, "node"), False, block)))
+    heads = cut(rooted(classes.select("node", "least"), star_components(links)))
+    named = heads.join(heads.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
     return marks.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns, with one row of each component: that of its least doc_id (see simhash.keep_heads)."""
-    found = shingle_components(docs)
-    return keep_heads(docs, found.where("doc_id = component_id").select("doc_id").distinct())
+    return keep_heads(docs, shingle_components(docs))

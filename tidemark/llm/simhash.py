@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, per_batch, typed
+from .common import cut, per_batch, spare, typed
 from .components import star_components
 
 #: Words hashed at a time, so that a very long text takes bounded memory.
 PIECE = 1 << 16
-#: Fingerprints in a block of bit planes.
-BLOCK = 4096
+#: Fingerprints in a block of bit planes, and links of a block that are held before they are thinned out.
+BLOCK, HELD = 4096, 1 << 20
 QUARTERS = list(itertools.combinations(range(4), 2))
 BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.int64)
 
@@ -63,30 +63,31 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def planes_of(fps: np.ndarray) -> list[int]:
-    """64 long integers; bit i of plane b is bit b of fingerprint i."""
-    return [int.from_bytes(np.packbits(((fps >> np.uint64(b)) & np.uint64(1)).astype(np.uint8), bitorder="little").tobytes(), "little") for b in range(64)]
+    """Long integers; bit i of plane b is bit b of fingerprint i. A row of fps holds one fingerprint, in words of 64 bits."""
+    bits = np.unpackbits(np.ascontiguousarray(fps).reshape(len(fps), -1).view(np.uint8), axis=1, bitorder="little")
+    return [int.from_bytes(row.tobytes(), "little") for row in np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")]
 
 
 def lanes(mask: np.ndarray) -> int:
     return int.from_bytes(np.packbits(mask, bitorder="little").tobytes(), "little")
 
 
-def linked_lanes(planes: list[int], shift: int, valid: int, radius: int) -> int:
-    """The valid lanes i whose fingerprint differs from lane i + shift in at most radius bits."""
-    depth = (radius + 1).bit_length()
-    counter, over = [0] * depth, 0
+def linked_lanes(planes: list[int], shift: int, valid: int, radius: int, every: int = 4) -> int:
+    """The valid lanes i whose fingerprint differs from lane i + shift in at most radius bits.
+
+    After every few planes the lanes beyond the radius are dropped; with the last of them the block is abandoned.
+    """
+    counter, over = [0] * (radius + 1).bit_length(), 0
     for b, plane in enumerate(planes):
         carry = (plane ^ (plane >> shift)) & valid
-        for k in range(depth):  # carry-save: plane k holds the k-th binary digit of every lane's count
+        for k in range(len(counter)):  # carry-save: plane k holds the k-th binary digit of every lane's count
             counter[k], carry = counter[k] ^ carry, counter[k] & carry
-        if b & 3 == 3:
-            over |= carry | exceeding(counter, radius, valid)
-            valid &= ~over
+        over |= carry
+        if b % every == every - 1:
+            valid &= ~(over | exceeding(counter, radius, valid))
             if not valid:
                 return 0
-        else:
-            over |= carry | exceeding(counter, radius, valid)
-    return valid & ~over
+    return valid
 
 
 def exceeding(counter: list[int], radius: int, valid: int) -> int:
@@ -101,37 +102,82 @@ def exceeding(counter: list[int], radius: int, valid: int) -> int:
     return above
 
 
-def block_edges(keys: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Edges that span the links among rows of equal key; rows come sorted by key.
+def block_links(keys: np.ndarray, fps: np.ndarray, radius: int, root: np.ndarray | None = None, sides: np.ndarray | None = None, allowed=None, spanning: bool = True) -> np.ndarray:
+    """Rows (i, j, distance) of equal key and different root within the radius; rows come sorted by key.
 
-    Rows already joined are not linked again, so a large group gives one edge for each row, not each pair.
+    Spanning: of all links those of a least spanning forest over the roots, so a large group gives one for each
+    row at most, not each pair. sides: only rows of different sides are compared, where they aren't 0.
+    allowed(i, j) drops further pairs.
     """
     n = len(fps)
-    planes, root = planes_of(fps), np.arange(n)
-    edges = []
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+    planes, root, every = planes_of(fps), np.arange(n) if root is None else np.unique(root, return_inverse=True)[1], 4 if fps.ndim == 1 else 16
+    raw = np.ascontiguousarray(fps).reshape(n, -1).view(np.uint64)
+    held, size = [np.zeros((0, 3), np.int32)], 0
     for shift in range(1, n):
         same = keys[:-shift] == keys[shift:]
         if not same.any():
             break
-        mask = lanes(same & (root[:-shift] != root[shift:]))
-        got = linked_lanes(planes, shift, mask, radius) if mask else 0
-        if got:
-            raw = np.frombuffer(got.to_bytes((n + 7) // 8, "little"), np.uint8)
-            for i in np.flatnonzero(np.unpackbits(raw, bitorder="little")[:n]).tolist():
-                p, q = top(i), top(i + shift)
-                if p != q:
-                    root[max(p, q)] = min(p, q)
-                    edges.append((int(fps[i]), int(fps[i + shift])))
-            while not np.array_equal(flat := root[root], root):
-                root = flat
-    return edges
+        mask = same & (root[:-shift] != root[shift:])
+        if sides is not None:
+            mask &= (sides[:-shift] == 0) | (sides[:-shift] != sides[shift:])
+        got = linked_lanes(planes, shift, lanes(mask), radius, every) if mask.any() else 0
+        if not got:
+            continue
+        at = np.flatnonzero(np.unpackbits(np.frombuffer(got.to_bytes((n + 7) // 8, "little"), np.uint8), bitorder="little")[:n])
+        if allowed is not None:
+            at = at[allowed(at, at + shift)]
+        held.append(np.stack([at, at + shift, np.bitwise_count(raw[at] ^ raw[at + shift]).sum(axis=1)], axis=1).astype(np.int32))
+        size += len(at)
+        if spanning and size > HELD:
+            held = [forest(np.concatenate(held), root)]
+            size = len(held[0])
+    return forest(np.concatenate(held), root) if spanning else np.concatenate(held)
+
+
+def forest(links: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """The links (i, j, distance) of a least spanning forest over root; root[i] is a row's label, below len(root)."""
+    links = links[np.argsort(links[:, 2], kind="stable")]
+    top, out = np.arange(len(root)), []
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    for part in np.split(links, np.flatnonzero(np.diff(links[:, 2])) + 1):  # of one distance
+        while not np.array_equal(flat := top[top], top):
+            top = flat
+        part = part[top[root[part[:, 0]]] != top[root[part[:, 1]]]]
+        for k, (p, q) in enumerate(zip(root[part[:, 0]].tolist(), root[part[:, 1]].tolist())):
+            p, q = find(p), find(q)
+            if p != q:
+                top[max(p, q)] = min(p, q)
+                out.append(part[k])
+    return np.array(out, np.int32).reshape(-1, 3)
+
+
+def by_group(batches, block: int, work):
+    """Calls work with arrays of about a block of rows at a time; the rows come sorted by the first column, whose values are never parted."""
+    held, n = [], 0
+
+    def ready(columns):
+        for lo, hi in whole_keys(columns[0], block):
+            yield work(*(c[lo:hi] for c in columns))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([c.to_numpy() for c in batch.columns])
+        n += batch.num_rows
+        if n >= 4 * block:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            at = int(np.searchsorted(columns[0] == columns[0][-1], True))  # the last key may go on
+            if at:
+                yield from ready([c[:at] for c in columns])
+            held, n = [[c[at:] for c in columns]], len(columns[0]) - at
+    if n:
+        yield from ready([np.concatenate(c) for c in zip(*held, strict=True)])
 
 
 def near_pairs(fps: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame:
@@ -152,33 +198,11 @@ def near_pairs(fps: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame
     rows = rows.select(group.alias("grp"), "fp")
     rows = rows.repartition("grp").sortWithinPartitions("grp", "fp")
 
-    def run(batches):
-        held_k, held_f, n = [], [], 0
-
-        def out(keys, found):
-            got = block_edges(keys, found.view(np.uint64), radius)
-            return pa.RecordBatch.from_arrays([pa.array([signed(x[i]) for x in got], pa.int64()) for i in (0, 1)], ["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held_k.append(batch.column(0).to_numpy())
-            held_f.append(batch.column(1).to_numpy())
-            n += batch.num_rows
-            if n >= 4 * block:
-                keys, found = np.concatenate(held_k), np.concatenate(held_f)
-                at = int(np.searchsorted(keys == keys[-1], True))  # the last key may go on
-                if at:
-                    for lo, hi in whole_keys(keys[:at], block):
-                        yield out(keys[lo:hi], found[lo:hi])
-                    keys, found = keys[at:], found[at:]
-                held_k, held_f, n = [keys], [found], len(keys)
-        if n:
-            keys, found = np.concatenate(held_k), np.concatenate(held_f)
-            for lo, hi in whole_keys(keys, block):
-                yield out(keys[lo:hi], found[lo:hi])
-
-    return rows.mapInArrow(typed(run, "a long, b long"), "a long, b long")
+    def work(keys, found):
+        got = block_links(keys, found.view(np.uint64), radius)
+        return pa.RecordBatch.from_arrays([pa.array(found[got[:, k]], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return rows.mapInArrow(typed(lambda batches: by_group(batches, block, work), "a long, b long"), "a long, b long")
 
 
 def whole_keys(keys: np.ndarray, block: int):
@@ -219,19 +243,32 @@ def hex_of(column) -> F.Column:
 
 def keep_one(docs: DataFrame, radius: int = 2) -> DataFrame:
     """The rows of docs, all columns, with one row of each component: that of its least doc_id."""
-    found = simhash_components(docs, radius)
-    return keep_heads(docs, found.where("doc_id = component_id").select("doc_id").distinct())
+    return keep_heads(docs, simhash_components(docs, radius))
+
+
+#: Ids that may be broadcast: 8 MB of longs; more are joined by shuffle.
+FEW = 1 << 20
+
+
+def among(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """The rows of docs whose doc_id is (left_semi) or isn't (left_anti) in ids; texts move only if ids are many."""
+    name = spare(docs, "_id")[0]
+    ids = ids.select(F.col("doc_id").alias(name))
+    return docs.join(F.broadcast(ids) if ids.count() <= FEW else ids, F.col("doc_id") == F.col(name), how)
 
 
-def keep_heads(docs: DataFrame, heads: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, whose doc_id is in heads (doc_id).
+def keep_heads(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, whose doc_id is its component's in found (doc_id, component_id).
 
     Of several rows with that doc_id, the one with the least row digest stays. Rows without doc_id can't be
-    told apart and stay. Texts move once, in the join keyed by doc_id.
+    told apart and stay. Only rows of a repeated doc_id are ordered; the others pass where they are read.
     """
-    heads = heads.select(F.col("doc_id").alias("_head"))
-    order = W.partitionBy("doc_id").orderBy("_digest")
-    named = docs.where("doc_id is not null").join(heads, F.col("doc_id") == F.col("_head"), "left_semi")
-    rows = named.withColumn("_digest", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    first = rows.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").select(*docs.columns)
-    return first.unionByName(docs.where("doc_id is null"))
+    ids = cut(found.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("head"), F.count("*").alias("n")))
+    digest, rank = spare(docs, "_digest", "_rank")
+    kept = among(docs, ids.where("not head"), "left_anti")
+    many = ids.where("head and n > 1")
+    if not many.take(1):
+        return kept
+    rows = among(kept, many, "left_semi").withColumn(digest, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    first = rows.withColumn(rank, F.row_number().over(W.partitionBy("doc_id").orderBy(digest))).where(F.col(rank) == 1)
+    return among(kept, many, "left_anti").unionByName(first.select(*[F.col(f"`{c}`") for c in docs.columns]))
