@@ -166,7 +166,7 @@ def conflicting_keys(spark, d):
 
 @query("""select o_orderkey, case when o_orderkey % 7 = 0 then 'composite_figi_null' when o_orderkey % 7 = 1 then 'composite_figi_empty' when o_orderkey % 7 = 2 then 'composite_figi_whitespace_only'
   when o_orderkey % 7 = 3 then 'composite_figi_surrounding_whitespace' when o_orderkey % 7 = 4 and o_orderkey < 10 then 'composite_figi_length_not_12' when o_orderkey % 7 = 4 then null
-  when o_orderkey % 7 = 5 then 'composite_figi_non_upper_ascii_alnum' else 'composite_figi_prefix_not_BBG' end as reason from orders where o_orderkey < 9000""")
+  when o_orderkey % 7 = 5 then 'composite_figi_non_upper_ascii_alnum' else 'composite_figi_prefix_not_BBG' end as reason from orders""")
 def figi_reasons(spark, d):
     k = F.col("o_orderkey") % 7
     padded = F.lpad(F.col("o_orderkey").cast("string"), 9, "0")
