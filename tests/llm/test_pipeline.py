@@ -2,7 +2,9 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline
-from tidemark.llm import decontam, simhash, toxicity
+from tidemark.llm import decontam, toxicity
+
+from .test_shingles import plain_heads
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,20 +23,8 @@ def test_stages_as_brute_force(spark):
     assert kept.columns == columns and one == {i for i, s in scores.items() if s < 0.5}
     distinct = near(spark, kept, SF)
     two = {r["doc_id"] for r in distinct.collect()}
-    fps = {i: simhash.fingerprint(all_rows[i]) for i in one}
-    root = {i: i for i in one}
-
-    def top(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in sorted(one):
-        for j in one:
-            if j < i and (fps[i] ^ fps[j]).bit_count() <= 2:
-                a, b = sorted((top(i), top(j)))
-                root[b] = a
-    assert distinct.columns == columns and two == {top(i) for i in one}
+    heads = plain_heads([(i, all_rows[i]) for i in sorted(one)])
+    assert distinct.columns == columns and two == set(heads.values())
     clean = leaks(spark, distinct, SF)
     items = [decontam.normal(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     leaked = {i for i in two for h in [decontam.normal(all_rows[i])] for a in items if len(a) >= 5 and sum(x[2] for x in decontam.tiles(a, h)) >= 0.8 * len(a)}
