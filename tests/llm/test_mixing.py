@@ -83,3 +83,13 @@ def test_edges(docs_of):
     first = Counter((r["doc_id"], r["text"]) for r in got if r["_epoch"] == 0)
     assert first == Counter((r["doc_id"], r["text"]) for r in df.collect())
     assert mixing.schedule(df.limit(0)).count() == 0
+
+
+def test_clashing_names(docs_of):
+    """Columns of docs named like those worked with or added stay as they are."""
+    df = docs_of(["a b", "c d e", "f"])
+    for c in ("_words", "_key", "_source", "_epoch", "_spent", "c0", "_Block"):
+        df = df.withColumn(c, F.lit(f"mine {c}"))
+    got = mixing.schedule(df)
+    assert got.columns == [*df.columns, "_epoch_", "_block_", "_place", "_weight", "_words_"]
+    assert {r["_words"] for r in got.collect()} == {"mine _words"} and {r["_words_"] for r in got.collect()} == {1, 2, 3}

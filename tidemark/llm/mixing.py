@@ -16,9 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, spare
 
 GRID, PASSES = 16, 6
+#: Key of the permutations.
+SEED = 17
 #: Rows in a block, on average.
 BLOCK = 4096
 
@@ -79,18 +81,23 @@ def weights(sources: DataFrame, exponent: float, budget: float | None = None) ->
     return rows.withColumn("epochs", F.when(F.col("n_words") > 0, F.col("budget_words") / F.col("n_words")).otherwise(1.0))
 
 
-def schedule(docs: DataFrame, exponent: float | None = None, target_entropy: float | None = None, repetition_limit: float | None = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK) -> DataFrame:
-    """docs with all its columns once for each pass over a row, and _epoch, _block, _place, _weight.
+ADDED = ["_epoch", "_block", "_place", "_weight", "_words"]
+
+
+def schedule(docs: DataFrame, exponent: float | None = None, target_entropy: float | None = None, repetition_limit: float | None = 2.0, budget: float | None = None, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+    """docs with all its columns once for each pass over a row, and _epoch, _block, _place, _weight, _words.
 
     _epoch counts from 0; a source's rows in one epoch follow (_block, _place), a permutation keyed by seed. A
     row belongs to the last, partial epoch if the words before it in that epoch's order are below what is left
     of the source's budget. Rows without a word add nothing to budgets; they pass in whole epochs, and in the
     partial one by the same rule. Null texts have no words; a null source is a source; repeated rows are
-    rows of their own. No window holds more than a block or one source's block totals.
+    rows of their own. Where docs has a column of such a name, the added one has underscores appended. No window
+    holds more than a block or one source's block totals.
     """
-    names = docs.columns
-    rows = docs.withColumn("_words", n_words()).withColumn("_key", keyed(seed, "doc_id", "text"))
-    small = cut(rows.select(F.col("source"), F.col("_words").alias("n_words"), "_key"))
+    names, hidden = docs.columns, [f"c{k}" for k in range(len(docs.columns))]
+    doc_id, text, source = (hidden[names.index(c)] for c in ("doc_id", "text", "source"))
+    rows = docs.toDF(*hidden).withColumn("_words", n_words(text)).withColumn("_key", keyed(seed, doc_id, text))
+    small = cut(rows.select(F.col(source).alias("source"), F.col("_words").alias("n_words"), "_key"))
     sources = cut(source_totals(small))
     if exponent is None:
         exponent = find_exponent(sources, target_entropy, None if target_entropy is not None else repetition_limit)
@@ -103,14 +110,14 @@ def schedule(docs: DataFrame, exponent: float | None = None, target_entropy: flo
     order = W.partitionBy("_source").orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.lit("block"), "_block")), "_block")
     rest = F.when(F.col("_total") > 0, F.pmod("_budget", "_total")).otherwise(0)
     before = few(cut(sums.select(F.col("_source").alias("_s"), F.col("_block").alias("_b"), F.row_number().over(order).alias("_turn"), (rest - F.sum("_sum").over(order) + F.col("_sum")).alias("_left"))))
-    ranked = rows.join(plan, same("source", "_source")).withColumn("_block", block_of())
+    ranked = rows.join(plan, same(source, "_source")).withColumn("_block", block_of())
     ranked = ranked.join(before, same("_source", "_s") & (F.col("_block") == F.col("_b")))
     whole = F.when(F.col("_total") > 0, F.floor(F.col("_budget") / F.greatest("_total", F.lit(1)))).otherwise(1).cast("int")
-    within = W.partitionBy("_source", "_block").orderBy("_key", "doc_id")
+    within = W.partitionBy("_source", "_block").orderBy("_key", doc_id)
     ranked = ranked.withColumn("_place", F.row_number().over(within)).withColumn("_spent", F.sum("_words").over(within.rowsBetween(W.unboundedPreceding, 0)) - F.col("_words"))
     passes = whole + F.when((F.col("_left") > 0) & (F.col("_spent") < F.col("_left")), 1).otherwise(0)
     out = ranked.withColumn("_passes", passes).where("_passes > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_passes") - 1)))
-    return out.select(*[F.col(f"`{c}`") for c in names], "_epoch", F.col("_turn").alias("_block"), "_place", "_weight", "_words")
+    return out.select(*hidden, "_epoch", F.col("_turn").alias("_block"), "_place", "_weight", "_words").toDF(*names, *spare(docs, *ADDED))
 
 
 #: Rows of a per-source or per-block table that may be broadcast; a larger one joins by shuffle.
