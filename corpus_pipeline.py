@@ -35,8 +35,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """24 shards of near equal bytes, equal texts together."""
-    return sharding.shard_documents(docs, 24)
+    """24 shards of near equal bytes, equal texts together; slots follow mixing's keyed permutation, one epoch after the other."""
+    return sharding.shard_documents(docs, 24, mixing.keyed(mixing.SEED, "doc_id", "text"))
 
 
 STAGES = [("toxicity", toxic), ("near_duplicates", near_duplicates), ("decontamination", benchmark_leaks), ("mixing", mixed), ("sharding", sharded)]
