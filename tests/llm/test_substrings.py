@@ -1,6 +1,10 @@
 import hashlib
 import random
 
+import numpy as np
+from hypothesis import given
+from hypothesis import strategies as st
+
 from tidemark.llm import substrings
 
 from .conftest import EDGES, documents
@@ -26,13 +30,15 @@ def plain(rows, width=13):
     return sorted(out)
 
 
-def run(df):
-    return sorted((-1 if r[0] is None else r[0], *r[1:]) for r in map(tuple, substrings.removal_digest(df).collect()))
+def run(df, bits=None):
+    rows = substrings.without_repeats(df, 13, bits).collect()
+    return sorted((-1 if r[0] is None else r[0], r[1], r[2], hashlib.sha256(r[3].encode()).hexdigest()) for r in rows)
 
 
 def test_as_brute_force(small):
     df, rows = small
     assert run(df) == plain(rows)
+    assert sorted(map(tuple, substrings.removal_digest(df).collect())) == plain(rows)
 
 
 def test_edges_ties_and_repeats(spark, docs_of):
@@ -42,10 +48,42 @@ def test_edges_ties_and_repeats(spark, docs_of):
     assert run(df.limit(0)) == []
 
 
-def test_many_groups(spark, monkeypatch):
-    monkeypatch.setattr(substrings, "SUBTREE", 50)
-    monkeypatch.setattr(substrings, "FOLD", 200)
-    r = random.Random(4)
+def pieces_of_pieces(seed):
+    r = random.Random(seed)
     pieces = [[r.choice("abc de fgh ij k".split()) for _ in range(r.randint(5, 60))] for _ in range(12)]
-    rows = [(i, " ".join(w for _ in range(r.randint(0, 4)) for w in r.choice(pieces))) for i in range(120)]
+    return [(i, " ".join(w for _ in range(r.randint(0, 4)) for w in r.choice(pieces))) for i in range(120)]
+
+
+def test_many_batches_ranges_and_groups(spark, monkeypatch):
+    for name, value in (("SUBTREE", 50), ("BATCH", 200), ("RANGE", 300)):
+        monkeypatch.setattr(substrings, name, value)
+    rows = pieces_of_pieces(4)
     assert run(documents(spark, rows).repartition(7)) == plain(rows)
+
+
+def test_words_decide_and_not_hashes(spark, small, monkeypatch):
+    """With windows hashed to 8 bits nearly all suffixes pass the sieve; the trees give the same result."""
+    monkeypatch.setattr(substrings, "BATCH", 2000)
+    monkeypatch.setattr(substrings, "SUBTREE", 5000)
+    rows = pieces_of_pieces(5)
+    assert run(documents(spark, rows), 8) == plain(rows)
+    df, rows = small
+    assert run(df, 8) == plain(rows)
+
+
+def test_tree_is_a_suffix_array():
+    r = random.Random(6)
+    suffixes = [" ".join(r.choice(["a", "ab", "b", "a-"]) for _ in range(4)).encode() for _ in range(300)]
+    ids = np.array([r.randint(0, 9) for _ in suffixes])
+    order, node = substrings.Tree(suffixes, 4).nodes(ids)
+    got = [(suffixes[k].split(), ids[k]) for k in order]
+    assert got == sorted(got)
+    assert [x[0] == y[0] for x, y in zip(got, got[1:])] == (np.diff(node) == 0).tolist() and node[-1] == len(set(suffixes)) - 1
+
+
+@given(st.sets(st.integers(0, 2**50), min_size=1, max_size=60), st.integers(1, 9))
+def test_messages_give_keys_back(values, ranges):
+    keys = np.array(sorted(values), np.uint64)
+    of, begin = substrings.ranges_of(keys, ranges, 51)
+    back = [substrings.unpacked(memoryview(substrings.packed(keys[a:b]))) for a, b in zip(begin, begin[1:])]
+    assert np.concatenate(back).tolist() == keys.tolist() and of.max() < ranges and (np.diff(of) > 0).all()

@@ -1,14 +1,18 @@
 """Removal of repeated passages over prefix-partitioned suffix trees.
 
-Every word position with a whole window after it is a suffix. A suffix is filed under a prefix of
-variable length: words are added until their information, by a census of frequent words, singles out a
-memory-sized group (or the window is used up). Each group is one subtree, held as a sorted array of
-suffixes cut at window depth; a run of equal suffixes is an internal node at that depth or deeper, and
-its leaves are the places of a repeat. Consecutive leaves of one document join into a maximal repeat.
-
-A mapper first folds its own subtree: of equal suffixes in a batch only those of the least document
-travel, the others are known to be repeats. So a passage that fills a third of the corpus sends a few
-rows a batch, and no group grows with the number of its copies.
+Every word position with a whole window after it is a suffix. A sieve first drops the suffixes whose window
+occurs once only, as they are leaves right below no deep node: batches of documents exchange the sorted, shortened
+hashes of their windows by range, and learn which of them another batch has too. Equal hashes of different
+windows only let a suffix through that the tree then finds alone.
+
+A suffix that is left travels with the words of its window, to the group of its prefix. Prefixes have variable
+length: words are added until their information, by a census of frequent words, singles out a memory-sized
+group (or the window is used up). Each group is one subtree, cut at window depth and held as a suffix array of word
+ranks with the longest common prefixes of neighbours: prefixes below the window's width part the nodes of that depth,
+whose leaves are the places of a repeat. Consecutive leaves of a document are a maximal repeat.
+
+A mapper folds its own subtree first: of equal windows in a batch only those of the least document travel, the
+others are known to be repeats. So a passage that fills a third of the corpus sends a few rows a batch.
 """
 
 from __future__ import annotations
@@ -20,22 +24,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Spans, per_batch, slices, typed, word_hashes, words
-
-#: Suffixes in a subtree, on average: some 120 MB of arrays.
-SUBTREE = 2_000_000
-#: Bits of a text's mark that travel; it only tells apart different texts of one doc_id.
-MARK = 24
-#: Low bits of a span that hold its length; no run is longer than half of what they hold.
-LENGTH = 24
-#: Most partitions of the one shuffle; beyond them a task walks several subtrees, one after the other.
-PARTITIONS = 1 << 15
-#: Words that a mapper folds at a time.
-FOLD = 1_000_000
+from .common import Spans, slices, typed, word_hashes, words
+
+#: Words of a batch of documents, on average: 2 MB of text.
+BATCH = 300_000
+#: Hashes in a range of the sieve, on average, and the most ranges.
+RANGE, RANGES = 4_000_000, 1 << 18
+#: Suffixes in a subtree, on average and at most if all pass the sieve.
+SUBTREE = 1_000_000
 #: A word is frequent from this share of all words on, so the census has 4,096 rows at most.
 FREQUENT = 1 / 4096
-#: Expected number of suffixes over the corpus that are wrongly taken as equal.
-WRONG = 0.01
+#: Bits of a window's hash beyond those that number the windows: one in 2**SPARE passes the sieve by chance.
+SPARE = 7
+
+Rows = list[tuple[int | None, str | None]]
 
 
 def census(docs: DataFrame) -> tuple[int, list[tuple[int, float]]]:
@@ -62,203 +64,225 @@ def census(docs: DataFrame) -> tuple[int, list[tuple[int, float]]]:
     return total, [(r["h"] & (2**64 - 1), math.log2(total / r["n"])) for r in rows if r["n"] >= total * FREQUENT]
 
 
-class Folded:
-    """Suffixes of a batch of documents, with those that repeat an earlier document of the batch marked."""
+def ordered(table: pa.Table) -> Rows:
+    """(doc_id, text) of a batch, the least document first; equal rows are alike."""
+    rows = zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True)
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+
 
-    def __init__(self, ids: np.ndarray, marks: np.ndarray, hashes: list[np.ndarray], width: int, frequent: tuple[np.ndarray, np.ndarray], groups: int, plain_bits: float):
-        lengths = np.fromiter(map(len, hashes), np.int64, len(hashes))
-        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        doc = np.repeat(np.arange(len(hashes)), lengths)
+class Windows:
+    """The windows of a batch's documents that have an id: hash, document (place in the batch) and position of each."""
+
+    def __init__(self, rows: Rows, width: int, bits: int):
+        self.words = [words(t) if i is not None else [] for i, t in rows]
+        lengths = np.fromiter(map(len, self.words), np.int64, len(rows))
+        self.hashes = word_hashes([w for ws in self.words for w in ws])
+        doc = np.repeat(np.arange(len(rows)), lengths)
         begin = np.cumsum(lengths) - lengths
-        at = np.flatnonzero(np.arange(len(h)) - begin[doc] + width <= lengths[doc])
-        spans = Spans(h)
-        key = spans.of(at, width)
-        # information of each word, and how many words a suffix's prefix takes
-        keys, bits = frequent
-        info = np.full(len(h), int(plain_bits * 1024))  # whole 1024ths of a bit: equal suffixes get equal prefixes
+        self.at = np.flatnonzero(np.arange(len(doc)) - begin[doc] + width <= lengths[doc])
+        self.doc, self.pos = doc[self.at], self.at - begin[doc[self.at]]
+        self.spans = Spans(self.hashes)
+        self.key = self.spans.of(self.at, width) >> np.uint64(64 - bits)
+
+
+def ranges_of(keys: np.ndarray, ranges: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the ranges that sorted keys of some bits fall into, and where each begins; the end is the last."""
+    width = np.uint64(max(1, -(-(1 << bits) // ranges)))
+    of = (keys // width).astype(np.int64)
+    begin = np.flatnonzero(np.diff(of, prepend=-1))
+    return of[begin], np.append(begin, len(keys))
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as the first and the steps, byte by byte, as many bytes as the largest step takes."""
+    step = np.diff(keys)
+    size = max(1, (int(step.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([size]) + keys[:1].tobytes() + np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
+
+
+def unpacked(raw: memoryview) -> np.ndarray:
+    size, n = raw[0], (len(raw) - 9) // raw[0]
+    out = np.zeros((n + 1, 8), np.uint8)
+    out[0] = np.frombuffer(raw[1:9], np.uint8)
+    out[1:, :size] = np.frombuffer(raw[9:], np.uint8).reshape(size, n).T
+    return np.cumsum(out.reshape(-1).view(np.uint64), dtype=np.uint64)
+
+
+def binaries(column: pa.ChunkedArray) -> list[memoryview]:
+    return [memoryview(x.as_buffer()) for x in column]
+
+
+def sieve(messages: DataFrame) -> DataFrame:
+    """(batch, range, flags) of messages (range, batch, keys): a bit for each key that another batch sent too; none if there is none."""
+
+    def work(table: pa.Table) -> pa.Table:
+        parts = [unpacked(x) for x in binaries(table["keys"])]
+        _, at, n = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        twice = np.split(n[at] > 1, np.cumsum([len(p) for p in parts])[:-1])
+        some = np.flatnonzero([x.any() for x in twice])
+        return pa.table({"batch": table["batch"].take(some), "range": table["range"].take(some), "flags": pa.array([np.packbits(twice[k]).tobytes() for k in some], pa.binary())})
+
+    return messages.groupBy("range").applyInArrow(work, "batch long, range long, flags binary")
+
+
+class Tree:
+    """Suffixes of one prefix group as word ranks, in the order of a suffix array with longest common prefixes."""
+
+    def __init__(self, suffixes: list[bytes], width: int):
+        index: dict[bytes, int] = {}
+        number = index.setdefault
+        flat = np.fromiter((number(w, len(index)) for s in suffixes for w in s.split(b" ")), np.int32, len(suffixes) * width)
+        rank = np.zeros(len(index), np.int32)
+        rank[[index[w] for w in sorted(index)]] = np.arange(len(index))
+        self.rank = rank[flat].reshape(-1, width)
+        self.width = width
+
+    def nodes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The suffix array (the least document first among equals), and for each place the number of its node of window depth."""
+        order = np.lexsort((ids, *self.rank.T[::-1]))
+        rank = self.rank[order]
+        common = np.logical_and.accumulate(rank[1:] == rank[:-1], axis=1).sum(axis=1)  # longest common prefix with the one before
+        return order, np.concatenate([[0], np.cumsum(common < self.width)])[: len(order)]
+
+
+def runs(doc: np.ndarray, pos: np.ndarray) -> bytes:
+    """Consecutive positions of a document as (document, first, length), packed."""
+    order = np.lexsort((pos, doc))
+    doc, pos = doc[order], pos[order]
+    new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(pos, prepend=-2) != 1))
+    return np.stack([doc[new], pos[new], np.diff(new, append=len(pos))]).astype(np.int64).tobytes()
+
+
+def suffixes_of(windows: Windows, ids: np.ndarray, hit: np.ndarray, width: int):
+    """The windows `hit` folded: places of those that travel, their words, and places of those known to repeat a lesser document."""
+    sent, texts, done = [], [], []
+    held: dict[bytes, int] = {}
+    now, joined, ends = -1, b"", [0]
+    for k, d, p in zip(hit.tolist(), windows.doc[hit].tolist(), windows.pos[hit].tolist(), strict=True):
+        if d != now:
+            now, ws = d, windows.words[d]
+            joined, ends = b" ".join(ws), np.concatenate([[0], np.cumsum(np.fromiter(map(len, ws), np.int64, len(ws)) + 1)]).tolist()
+        text = joined[ends[p] : ends[p + width] - 1]
+        if ids[held.setdefault(text, d)] == ids[d]:
+            sent.append(k)
+            texts.append(text)
+        else:
+            done.append(k)
+    return np.array(sent, np.int64), texts, np.array(done, np.int64)
+
+
+def repeats(texts: DataFrame, total: int, often: list[tuple[int, float]], width: int, bits: int | None) -> DataFrame:
+    """(batch, spans): packed runs of positions that start a window also in a smaller doc_id, by a document's place in its batch.
+
+    texts: batch, doc_id, text. A key of fewer bits lets more suffixes through the sieve and changes no result.
+    """
+    ranges, groups = min(RANGES, max(1, math.ceil(total / RANGE))), max(1, math.ceil(total / SUBTREE))
+    bits = bits or min(62, max(16, math.ceil(math.log2(max(2, total))) + SPARE))
+    often = sorted(often)
+    frequent = texts.sparkSession.sparkContext.broadcast((np.array([x[0] for x in often], np.uint64), np.array([int(x[1] * 1024) for x in often], np.int64)))
+    plain, need = int(-math.log2(FREQUENT) * 1024), int(1024 * (math.log2(groups) + 2)) if groups > 1 else 0
+
+    def send(table: pa.Table) -> pa.Table:
+        keys = np.unique(Windows(ordered(table), width, bits).key)
+        of, begin = ranges_of(keys, ranges, bits)
+        batch = table["batch"][0].as_py()
+        return pa.table({"range": pa.array(of, pa.int64()), "batch": pa.array([batch] * len(of), pa.int64()), "keys": pa.array([packed(keys[a:b]) for a, b in zip(begin[:-1], begin[1:])], pa.binary())})
+
+    replies = sieve(texts.groupBy("batch").applyInArrow(send, "range long, batch long, keys binary"))
+
+    def prefix_groups(w: Windows, at: np.ndarray) -> np.ndarray:
+        """The group of the suffixes at some words: of whole 1024ths of a bit, so equal suffixes get equal prefixes."""
+        keys, value = frequent.value
+        info = np.full(len(w.hashes), plain)
         if len(keys):
-            slot = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            info = np.where(keys[slot] == h, (bits[slot] * 1024).astype(np.int64), info)
+            slot = np.minimum(np.searchsorted(keys, w.hashes), len(keys) - 1)
+            info = np.where(keys[slot] == w.hashes, value[slot], info)
         sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(info)])
-        need = int(1024 * (math.log2(groups) + 2)) if groups > 1 else 0
         prefix = np.clip(np.searchsorted(sums, sums[at] + need) - at, 1, width)
-        group = (spans.of(at, prefix) >> np.uint64(11)) % np.uint64(groups)
-        # the batch's own subtree: equal suffixes side by side, the least document first
-        order = np.lexsort((ids[doc[at]], key))
-        same = np.concatenate([[False], key[order][1:] == key[order][:-1]]) if len(order) else np.zeros(0, bool)
-        run = np.cumsum(~same) - 1
-        head = ids[doc[at]][order][~same][run] if len(order) else np.zeros(0, np.int64)
-        repeat = np.zeros(len(at), bool)
-        repeat[order] = ids[doc[at]][order] > head
-        self.key, self.group, self.repeat = key, group.astype(np.int64), repeat
-        self.doc, self.id, self.mark, self.pos = doc[at], ids[doc[at]], marks[doc[at]], at - begin[doc[at]]
-
-
-def split_bytes(values: np.ndarray, keep: int) -> bytes:
-    """The lowest bytes of 64-bit values, byte by byte, so that those that seldom change lie together."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :keep].T).tobytes()
-
-
-def joined_bytes(raw: memoryview, n: int, keep: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :keep] = np.frombuffer(raw, np.uint8).reshape(keep, n).T
-    return out.reshape(-1).view(np.uint64)
-
-
-def key_bytes(total: int) -> int:
-    """Bytes of a suffix's hash that travel: enough for WRONG wrong matches over the corpus."""
-    return min(8, max(5, math.ceil(math.log2(max(2.0, total * SUBTREE / 2 / WRONG)) / 8)))
-
-
-def repeats(docs: DataFrame, width: int = 13) -> DataFrame:
-    """(doc_id, mark, span): maximal runs of word positions that start a window also in a smaller doc_id.
-
-    docs: doc_id, text, mark (MARK bits of a digest of the text). span: first position, then LENGTH bits of the run's length. Rows without doc_id or text give and take nothing.
-    """
-    spark = docs.sparkSession
-    total, often = census(docs)
-    groups, keep = max(1, math.ceil(total / SUBTREE)), key_bytes(total)
-    often.sort()
-    frequent = spark.sparkContext.broadcast((np.array([x[0] for x in often], np.uint64), np.array([x[1] for x in often])))
-    plain = -math.log2(FREQUENT)
-
-    def leaves(batches):
-        ids, marks, hashes, n = [], [], [], 0
-
-        def out():
-            f = Folded(np.array(ids, np.int64), np.array(marks, np.int64), hashes, width, frequent.value, groups, plain)
-            order = np.argsort(f.group, kind="stable")
-            cuts = np.flatnonzero(np.diff(f.group[order])) + 1
-            got_g, got_b = [], []
-            for part in np.split(order, cuts):
-                if not len(part):
-                    continue
-                done, sent = part[f.repeat[part]], part[~f.repeat[part]]
-                got_g.append(int(f.group[part[0]]))
-                got_b.append(np.array([len(sent), len(done)], np.int64).tobytes() + split_bytes(f.key[sent], keep) + packed(f, sent) + packed(f, done))
-            return pa.RecordBatch.from_arrays([pa.array(got_g, pa.int64()), pa.array(got_b, pa.binary())], ["grp", "leaves"])
-
-        for batch in batches:
-            for part in slices(batch):
-                for i, t, m in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
-                    h = word_hashes(words(t))
-                    if len(h) >= width:
-                        ids.append(i), marks.append(m), hashes.append(h)
-                        n += len(h)
-                    if n >= FOLD:
-                        yield out()
-                        ids, marks, hashes, n = [], [], [], 0
-        if n:
-            yield out()
-
-    def packed(f: Folded, which: np.ndarray) -> bytes:
-        fresh = np.diff(f.doc[which], prepend=-1) != 0
-        step = np.where(fresh, f.pos[which], np.diff(f.pos[which], prepend=0))
-        new = np.flatnonzero(fresh)
-        change = np.diff(f.id[which][new], prepend=0)
-        return np.array([len(new)], np.int64).tobytes() + split_bytes(change.astype(np.int64), 8) + split_bytes(f.mark[which][new], MARK // 8) + np.diff(new, append=len(which)).astype(np.int32).tobytes() + split_bytes(step.astype(np.int64), 4)
-
-    source = docs.select("doc_id", "text", "mark").where("doc_id is not null and text is not null")
-    schema = "grp long, leaves binary"
-    sent = source.mapInArrow(typed(leaves, schema), schema).repartition(min(groups, PARTITIONS), "grp").sortWithinPartitions("grp")
-    schema = "doc_id long, mark long, span long"
-    return sent.mapInArrow(typed(lambda batches: subtrees(batches, keep), schema), schema)
-
-
-def unpacked(raw: memoryview, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Ids, marks and positions of n leaves, and the bytes they took."""
-    new = int(np.frombuffer(raw[:8], np.int64)[0])
-    at = 8
-    change = joined_bytes(raw[at : at + 8 * new], new, 8).view(np.int64)
-    at += 8 * new
-    mark = joined_bytes(raw[at : at + MARK // 8 * new], new, MARK // 8).view(np.int64)
-    at += MARK // 8 * new
-    lengths = np.frombuffer(raw[at : at + 4 * new], np.int32)
-    at += 4 * new
-    step = joined_bytes(raw[at : at + 4 * n], n, 4).astype(np.int64)
-    at += 4 * n
-    begin = np.cumsum(lengths) - lengths
-    sums = np.cumsum(step)
-    pos = sums - np.repeat(sums[begin] - step[begin], lengths)
-    return np.repeat(np.cumsum(change), lengths), np.repeat(mark, lengths), pos, at
-
-
-def subtrees(batches, keep: int):
-    """For each group: sort its suffixes, walk the internal nodes, give the leaves of larger documents."""
-    held: dict[str, list] = {"key": [], "id": [], "mark": [], "pos": []}
-    now = None
-
-    def found():
-        if not held["key"]:
-            return
-        key, ids, mark, pos = (np.concatenate(held[k]) for k in ("key", "id", "mark", "pos"))
-        order = np.lexsort((ids, key))
-        k, i = key[order], ids[order]
-        same = np.concatenate([[False], k[1:] == k[:-1]])
-        head = i[~same][np.cumsum(~same) - 1]
-        hit = order[i > head]
-        yield from runs(ids[hit], mark[hit], pos[hit])
-
-    for batch in batches:
-        for g, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            if g != now:
-                yield from found()
-                held = {k: [] for k in held}
-                now = g
-            view = memoryview(raw.as_buffer())
-            n, done = np.frombuffer(view[:16], np.int64).tolist()
-            at = 16
-            held["key"].append(joined_bytes(view[at : at + keep * n], n, keep))
-            at += keep * n
-            ids, mark, pos, used = unpacked(view[at:], n)
-            held["id"].append(ids), held["mark"].append(mark), held["pos"].append(pos)
-            yield from runs(*unpacked(view[at + used :], done)[:3])
-    yield from found()
-
-
-def runs(ids: np.ndarray, mark: np.ndarray, pos: np.ndarray):
-    """Consecutive positions of one document as (doc_id, mark, span)."""
-    if not len(ids):
-        return
-    order = np.lexsort((pos, mark, ids))
-    ids, mark, pos = ids[order], mark[order], pos[order]
-    new = np.concatenate([[True], (np.diff(pos) > 1) | (pos[1:] % (1 << LENGTH - 1) == 0) | (np.diff(ids) != 0) | (np.diff(mark) != 0)])
-    at = np.flatnonzero(new)
-    last = np.append(at[1:], len(pos)) - 1
-    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(mark[at]), pa.array((pos[at] << LENGTH) | (pos[last] - pos[at] + 1))], ["doc_id", "mark", "span"])
-
-
-def without_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
+        return ((w.spans.of(at, prefix) >> np.uint64(11)) % np.uint64(groups)).astype(np.int64)
+
+    def leaves(table: pa.Table, flags: pa.Table) -> pa.Table:
+        out = {"grp": [], "batch": [], "done": [], "leaves": []}
+        if table.num_rows:
+            rows, batch = ordered(table), table["batch"][0].as_py()
+            w, ids = Windows(rows, width, bits), np.array([i or 0 for i, _ in rows], np.int64)
+            keys, at, n = np.unique(w.key, return_inverse=True, return_counts=True)
+            met = n > 1
+            of, begin = ranges_of(keys, ranges, bits)
+            told = dict(zip(flags["range"].to_pylist(), binaries(flags["flags"]), strict=True))
+            for r, a, b in zip(of.tolist(), begin[:-1].tolist(), begin[1:].tolist()):
+                if r in told:
+                    met[a:b] |= np.unpackbits(np.frombuffer(told[r], np.uint8))[: b - a].astype(bool)
+            sent, texts, done = suffixes_of(w, ids, np.flatnonzero(met[at]), width)
+            if len(done):
+                out["grp"].append(-1 - batch), out["batch"].append(batch), out["done"].append(True), out["leaves"].append(runs(w.doc[done], w.pos[done]))
+            grp = prefix_groups(w, w.at[sent])
+            order = sorted(range(len(sent)), key=lambda k: (grp[k], texts[k]))
+            for part in np.split(np.array(order, np.int64), np.flatnonzero(np.diff(grp[order])) + 1):
+                if len(part):
+                    some = sent[part]
+                    fixed = np.stack([ids[w.doc[some]], w.doc[some], w.pos[some]]).astype(np.int64).tobytes()
+                    out["grp"].append(int(grp[part[0]])), out["batch"].append(batch), out["done"].append(False)
+                    out["leaves"].append(len(part).to_bytes(8, "little") + fixed + b"\n".join([texts[k] for k in part]))
+        return pa.table({"grp": pa.array(out["grp"], pa.int64()), "batch": pa.array(out["batch"], pa.int64()), "done": pa.array(out["done"], pa.bool_()), "leaves": pa.array(out["leaves"], pa.binary())})
+
+    def subtree(table: pa.Table) -> pa.Table:
+        if table["done"][0].as_py():
+            return table.select(["batch", "leaves"]).rename_columns(["batch", "spans"])
+        batch, fixed, suffixes = [], [], []
+        for b, raw in zip(table["batch"].to_pylist(), table["leaves"], strict=True):
+            raw = raw.as_py()
+            n = int.from_bytes(raw[:8], "little")
+            batch.append(np.full(n, b))
+            fixed.append(np.frombuffer(raw[8 : 8 + 24 * n], np.int64).reshape(3, n))
+            suffixes += raw[8 + 24 * n :].split(b"\n")
+        batch, (ids, doc, pos) = np.concatenate(batch), np.concatenate(fixed, axis=1)
+        order, node = Tree(suffixes, width).nodes(ids)
+        least = ids[order][np.flatnonzero(np.diff(node, prepend=-1))]
+        hit = order[ids[order] > least[node]]
+        hit = hit[np.argsort(batch[hit], kind="stable")]
+        parts = [p for p in np.split(hit, np.flatnonzero(np.diff(batch[hit])) + 1) if len(p)]
+        return pa.table({"batch": pa.array([int(batch[p[0]]) for p in parts], pa.int64()), "spans": pa.array([runs(doc[p], pos[p]) for p in parts], pa.binary())})
+
+    sent = texts.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(leaves, "grp long, batch long, done boolean, leaves binary")
+    return sent.groupBy("grp").applyInArrow(subtree, "batch long, spans binary")
+
+
+def without_repeats(docs: DataFrame, width: int = 13, bits: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) for every row of docs (doc_id, text, anything else).
 
     A word goes if some window of width words that covers it also starts in a document with a smaller
-    doc_id; windows are judged on the input. kept_text joins the kept words by one space. Null texts have no
-    words. Rows without doc_id are left as they are and make no other row repeat. Rows of equal doc_id
-    don't make each other repeat. A document's spans are bounded by its own length.
+    doc_id; windows are judged on the input, and by their words. kept_text joins the kept words by one space. Null
+    texts have no words. Rows without doc_id are left as they are and make no other row repeat. Rows of equal
+    doc_id don't make each other repeat. Texts are dealt into batches by one exchange, which all steps read.
     """
-    marked = docs.select("doc_id", "text", F.xxhash64("text").bitwiseAND(F.lit((1 << MARK) - 1)).alias("mark"))
-    spans = repeats(marked, width).groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list("span").alias("spans"))
-    rows = marked.join(spans, (F.col("doc_id") == F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+    total, often = census(docs)
+    batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, math.ceil(total / BATCH))).cast("long"))
+    texts = docs.select(batch.alias("batch"), "doc_id", "text")
+    spans = repeats(texts, total, often, width, bits)
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
-    return per_batch(rows, ["doc_id", "text", "spans"], schema, lambda *cols: strip(*cols, width))
-
-
-def strip(ids, texts, spans, width: int) -> dict:
-    out = {"doc_id": ids, "n_words": [], "n_removed": [], "kept_text": []}
-    for t, found in zip(texts, spans, strict=True):
-        ws = words(t)
-        kept = ws
-        if found:
-            s = np.array(found, np.int64)
-            edge = np.zeros(len(ws) + 1, np.int64)
-            np.add.at(edge, s >> LENGTH, 1)
-            np.add.at(edge, (s >> LENGTH) + (s & (1 << LENGTH) - 1) + width - 1, -1)
-            stay = np.cumsum(edge)[:-1] == 0
-            kept = [w for w, x in zip(ws, stay.tolist(), strict=True) if x]
-        out["n_words"].append(len(ws))
-        out["n_removed"].append(len(ws) - len(kept))
-        out["kept_text"].append(b" ".join(kept).decode())
-    return out
+
+    def strip(table: pa.Table, spans: pa.Table) -> pa.Table:
+        rows = ordered(table)
+        found = [np.frombuffer(x, np.int64).reshape(3, -1) for x in binaries(spans["spans"])]
+        doc, first, length = np.concatenate([*found, np.zeros((3, 0), np.int64)], axis=1)
+        order = np.argsort(doc, kind="stable")
+        begin = np.searchsorted(doc[order], np.arange(len(rows) + 1))
+        out = {"doc_id": [i for i, _ in rows], "n_words": [], "n_removed": [], "kept_text": []}
+        for k, (_, t) in enumerate(rows):
+            ws = kept = words(t)
+            mine = order[begin[k] : begin[k + 1]]
+            if len(mine):
+                edge = np.zeros(len(ws) + 1, np.int64)
+                np.add.at(edge, first[mine], 1)
+                np.add.at(edge, first[mine] + length[mine] + width - 1, -1)
+                kept = [x for x, y in zip(ws, (np.cumsum(edge)[:-1] == 0).tolist(), strict=True) if y]
+            out["n_words"].append(len(ws))
+            out["n_removed"].append(len(ws) - len(kept))
+            out["kept_text"].append(b" ".join(kept).decode())
+        return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "n_words": pa.array(out["n_words"], pa.int64()), "n_removed": pa.array(out["n_removed"], pa.int64()), "kept_text": pa.array(out["kept_text"], pa.string())})
+
+    return texts.groupBy("batch").cogroup(spans.groupBy("batch")).applyInArrow(strip, schema)
 
 
 def removal_digest(docs: DataFrame, width: int = 13) -> DataFrame:
