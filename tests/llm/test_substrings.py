@@ -73,12 +73,15 @@ def test_words_decide_and_not_hashes(spark, small, monkeypatch):
 
 def test_tree_is_a_suffix_array():
     r = random.Random(6)
-    suffixes = [" ".join(r.choice(["a", "ab", "b", "a-"]) for _ in range(4)).encode() for _ in range(300)]
+    stretches = [" ".join(r.choice(["a", "ab", "b", "a-"]) for _ in range(r.randint(4, 9))).encode() for _ in range(300)]
+    tree = substrings.Tree(stretches, 4)
+    suffixes = [s.split()[k : k + 4] for s in stretches for k in range(len(s.split()) - 3)]
     ids = np.array([r.randint(0, 9) for _ in suffixes])
-    order, node = substrings.Tree(suffixes, 4).nodes(ids)
-    got = [(suffixes[k].split(), ids[k]) for k in order]
+    order, node = tree.nodes(ids)
+    assert [stretches[o].split()[p : p + 4] for o, p in zip(tree.of, tree.place)] == suffixes
+    got = [(suffixes[k], ids[k]) for k in order]
     assert got == sorted(got)
-    assert [x[0] == y[0] for x, y in zip(got, got[1:])] == (np.diff(node) == 0).tolist() and node[-1] == len(set(suffixes)) - 1
+    assert [x[0] == y[0] for x, y in zip(got, got[1:])] == (np.diff(node) == 0).tolist() and node[-1] == len(set(map(tuple, suffixes))) - 1
 
 
 @given(st.sets(st.integers(0, 2**50), min_size=1, max_size=60), st.integers(1, 9))
@@ -87,3 +90,12 @@ def test_messages_give_keys_back(values, ranges):
     of, begin = substrings.ranges_of(keys, ranges, 51)
     back = [substrings.unpacked(memoryview(substrings.packed(keys[a:b]))) for a, b in zip(begin, begin[1:])]
     assert np.concatenate(back).tolist() == keys.tolist() and of.max() < ranges and (np.diff(of) > 0).all()
+
+
+@given(st.lists(st.one_of(st.none(), st.text("ab é\x1f\t\n\r\x0b\x0c\x85", max_size=30)), max_size=12))
+def test_words_as_split(texts):
+    w = substrings.Words([substrings.canon(t) for t in texts])
+    want = [(k, x) for k, t in enumerate(texts) for x in (t or "").encode().split()]
+    assert [(int(d), w.raw[a:b]) for d, a, b in zip(w.doc, w.begin, w.end)] == want
+    by = {}
+    assert all(by.setdefault(x, h) == h for (_, x), h in zip(want, w.hash.tolist())) and len(set(by.values())) == len(by)

@@ -5,9 +5,11 @@ occurs once only, as they are leaves right below no deep node: batches of docume
 hashes of their windows by range, and learn which of them another batch has too. Equal hashes of different
 windows only let a suffix through that the tree then finds alone.
 
-A suffix that is left travels with the words of its window, to the group of its prefix. Prefixes have variable
-length: words are added until their information, by a census of frequent words, singles out a memory-sized
-group (or the window is used up). Each group is one subtree, cut at window depth and held as a suffix array of word
+A suffix that is left travels with the words of its window. It is filed under the suffix at its anchor, the run
+of ANCHOR words with the least hash within the window: equal windows have equal anchors, and neighbours mostly share one, so
+they travel as one stretch of text and not as a window each. The group of an anchor's suffix is its prefix, of variable
+length: words are added until their information, by a census of frequent words, singles out a memory-sized group
+(or the anchor is used up). Each group is a subtree, cut at window depth and held as a suffix array of word
 ranks with the longest common prefixes of neighbours: prefixes below the window's width part the nodes of that depth,
 whose leaves are the places of a repeat. Consecutive leaves of a document are a maximal repeat.
 
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Spans, slices, typed, word_hashes, words
+from .common import Spans, mix64, slices, typed
 
 #: Words of a batch of documents, on average: 2 MB of text.
 BATCH = 300_000
@@ -34,10 +36,46 @@ RANGE, RANGES = 4_000_000, 1 << 18
 SUBTREE = 1_000_000
 #: A word is frequent from this share of all words on, so the census has 4,096 rows at most.
 FREQUENT = 1 / 4096
+#: Words of an anchor.
+ANCHOR = 3
 #: Bits of a window's hash beyond those that number the windows: one in 2**SPARE passes the sieve by chance.
 SPARE = 7
 
 Rows = list[tuple[int | None, str | None]]
+#: Bytes that part words, as a space.
+SPACES = bytes(32 if c in b" \t\n\x0b\x0c\r" else c for c in range(256))
+POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
+
+def canon(text: str | None) -> bytes:
+    """The words of a text, joined by one space."""
+    raw = text.encode("utf-8", "replace").translate(SPACES) if text else b""
+    return b" ".join(raw.split()) if b"  " in raw or raw[:1] == b" " or raw[-1:] == b" " else raw
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base and of its inverse, modulo 2**64."""
+    if len(POWERS["up"]) < n:
+        for name, base in (("up", Spans.BASE), ("down", Spans.INVERSE)):
+            POWERS[name] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(2 * n, base)]))
+    return POWERS["up"][:n], POWERS["down"][:n]
+
+
+class Words:
+    """The words of texts in canonical form, one after the other: begin, end, text and hash of each; equal words have equal hashes."""
+
+    def __init__(self, texts: list[bytes]):
+        self.raw = b"\n".join([*texts, b""])
+        raw = np.frombuffer(self.raw, np.uint8)
+        breaks = raw == 10
+        end = np.flatnonzero(breaks | (raw == 32))
+        begin = np.concatenate([np.zeros(1, np.int64), end[:-1] + 1])[: len(end)]
+        some = end > begin  # a text without words ends where it begins
+        self.doc = (np.cumsum(breaks[end]) - breaks[end])[some]
+        self.begin, self.end = begin[some], end[some]
+        up, down = powers(len(raw))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw + np.uint64(1)) * down)])
+        self.hash = mix64((sums[self.end] - sums[self.begin]) * up[self.begin])
 
 
 def census(docs: DataFrame) -> tuple[int, list[tuple[int, float]]]:
@@ -51,7 +89,7 @@ def census(docs: DataFrame) -> tuple[int, list[tuple[int, float]]]:
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                h = word_hashes([w for t in part.column(0).to_pylist() for w in words(t)])
+                h = Words([canon(t) for t in part.column(0).to_pylist()]).hash
                 if not len(h):
                     continue
                 u, n = np.unique(h, return_counts=True)
@@ -74,16 +112,25 @@ class Windows:
     """The windows of a batch's documents that have an id: hash, document (place in the batch) and position of each."""
 
     def __init__(self, rows: Rows, width: int, bits: int):
-        self.words = [words(t) if i is not None else [] for i, t in rows]
-        lengths = np.fromiter(map(len, self.words), np.int64, len(rows))
-        self.hashes = word_hashes([w for ws in self.words for w in ws])
-        doc = np.repeat(np.arange(len(rows)), lengths)
+        self.words = w = Words([canon(t) if i is not None else b"" for i, t in rows])
+        lengths = np.bincount(w.doc, minlength=len(rows))
         begin = np.cumsum(lengths) - lengths
-        self.at = np.flatnonzero(np.arange(len(doc)) - begin[doc] + width <= lengths[doc])
-        self.doc, self.pos = doc[self.at], self.at - begin[doc[self.at]]
-        self.spans = Spans(self.hashes)
+        self.at = np.flatnonzero(np.arange(len(w.doc)) - begin[w.doc] + width <= lengths[w.doc])
+        self.doc, self.pos = w.doc[self.at], self.at - begin[w.doc[self.at]]
+        self.spans, self.width = Spans(w.hash), width
         self.key = self.spans.of(self.at, width) >> np.uint64(64 - bits)
 
+    def anchors(self, which: np.ndarray) -> np.ndarray:
+        """The word at which the least run of ANCHOR words begins in each of some windows; the first of equals."""
+        size = min(ANCHOR, self.width)
+        value = self.spans.of(np.arange(max(0, len(self.words.hash) - size + 1)), size)
+        at = self.at[which]
+        best, out = value[at], at.copy()
+        for k in range(1, self.width - size + 1):
+            less = value[at + k] < best
+            best, out = np.where(less, value[at + k], best), np.where(less, at + k, out)
+        return out
+
 
 def ranges_of(keys: np.ndarray, ranges: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the ranges that sorted keys of some bits fall into, and where each begins; the end is the last."""
@@ -126,15 +173,24 @@ def sieve(messages: DataFrame) -> DataFrame:
 
 
 class Tree:
-    """Suffixes of one prefix group as word ranks, in the order of a suffix array with longest common prefixes."""
+    """The suffixes of stretches of text as word ranks, in the order of a suffix array with longest common prefixes."""
 
-    def __init__(self, suffixes: list[bytes], width: int):
+    def __init__(self, stretches: list[bytes], width: int):
         index: dict[bytes, int] = {}
         number = index.setdefault
-        flat = np.fromiter((number(w, len(index)) for s in suffixes for w in s.split(b" ")), np.int32, len(suffixes) * width)
+        flat, lengths = [], []
+        for s in stretches:
+            ws = s.split(b" ")
+            lengths.append(len(ws))
+            flat += [number(w, len(index)) for w in ws]
         rank = np.zeros(len(index), np.int32)
         rank[[index[w] for w in sorted(index)]] = np.arange(len(index))
-        self.rank = rank[flat].reshape(-1, width)
+        windows = np.array(lengths, np.int64) - width + 1
+        #: stretch of each suffix, and its place there
+        self.of = np.repeat(np.arange(len(windows)), windows)
+        self.place = np.arange(len(self.of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        begin = np.cumsum(lengths) - lengths
+        self.rank = rank[np.array(flat, np.int64)][(begin[self.of] + self.place)[:, None] + np.arange(width)] if len(self.of) else np.zeros((0, width), np.int32)
         self.width = width
 
     def nodes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,22 +209,13 @@ def runs(doc: np.ndarray, pos: np.ndarray) -> bytes:
     return np.stack([doc[new], pos[new], np.diff(new, append=len(pos))]).astype(np.int64).tobytes()
 
 
-def suffixes_of(windows: Windows, ids: np.ndarray, hit: np.ndarray, width: int):
-    """The windows `hit` folded: places of those that travel, their words, and places of those known to repeat a lesser document."""
-    sent, texts, done = [], [], []
+def folded(w: Windows, ids: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """For each of the windows `hit`, whether a lesser document of the batch has the same words; the least document comes first."""
     held: dict[bytes, int] = {}
-    now, joined, ends = -1, b"", [0]
-    for k, d, p in zip(hit.tolist(), windows.doc[hit].tolist(), windows.pos[hit].tolist(), strict=True):
-        if d != now:
-            now, ws = d, windows.words[d]
-            joined, ends = b" ".join(ws), np.concatenate([[0], np.cumsum(np.fromiter(map(len, ws), np.int64, len(ws)) + 1)]).tolist()
-        text = joined[ends[p] : ends[p + width] - 1]
-        if ids[held.setdefault(text, d)] == ids[d]:
-            sent.append(k)
-            texts.append(text)
-        else:
-            done.append(k)
-    return np.array(sent, np.int64), texts, np.array(done, np.int64)
+    first, raw = held.setdefault, w.words.raw
+    begin, end, doc = w.words.begin[w.at[hit]].tolist(), w.words.end[w.at[hit] + w.width - 1].tolist(), w.doc[hit].tolist()
+    least = np.array([first(raw[a:b], d) for a, b, d in zip(begin, end, doc, strict=True)], np.int64)
+    return ids[least] < ids[w.doc[hit]] if len(hit) else np.zeros(0, bool)
 
 
 def repeats(texts: DataFrame, total: int, often: list[tuple[int, float]], width: int, bits: int | None) -> DataFrame:
@@ -193,16 +240,21 @@ def repeats(texts: DataFrame, total: int, often: list[tuple[int, float]], width:
     def prefix_groups(w: Windows, at: np.ndarray) -> np.ndarray:
         """The group of the suffixes at some words: of whole 1024ths of a bit, so equal suffixes get equal prefixes."""
         keys, value = frequent.value
-        info = np.full(len(w.hashes), plain)
+        info = np.full(len(w.words.hash), plain)
         if len(keys):
-            slot = np.minimum(np.searchsorted(keys, w.hashes), len(keys) - 1)
-            info = np.where(keys[slot] == w.hashes, value[slot], info)
+            slot = np.minimum(np.searchsorted(keys, w.words.hash), len(keys) - 1)
+            info = np.where(keys[slot] == w.words.hash, value[slot], info)
         sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(info)])
-        prefix = np.clip(np.searchsorted(sums, sums[at] + need) - at, 1, width)
+        prefix = np.clip(np.searchsorted(sums, sums[at] + need) - at, 1, min(ANCHOR, width))
         return ((w.spans.of(at, prefix) >> np.uint64(11)) % np.uint64(groups)).astype(np.int64)
 
     def leaves(table: pa.Table, flags: pa.Table) -> pa.Table:
-        out = {"grp": [], "batch": [], "done": [], "leaves": []}
+        out: dict[str, list] = {"grp": [], "batch": [], "done": [], "leaves": []}
+
+        def row(*values):
+            for c, v in zip(out.values(), values, strict=True):
+                c.append(v)
+
         if table.num_rows:
             rows, batch = ordered(table), table["batch"][0].as_py()
             w, ids = Windows(rows, width, bits), np.array([i or 0 for i, _ in rows], np.int64)
@@ -213,36 +265,41 @@ def repeats(texts: DataFrame, total: int, often: list[tuple[int, float]], width:
             for r, a, b in zip(of.tolist(), begin[:-1].tolist(), begin[1:].tolist()):
                 if r in told:
                     met[a:b] |= np.unpackbits(np.frombuffer(told[r], np.uint8))[: b - a].astype(bool)
-            sent, texts, done = suffixes_of(w, ids, np.flatnonzero(met[at]), width)
-            if len(done):
-                out["grp"].append(-1 - batch), out["batch"].append(batch), out["done"].append(True), out["leaves"].append(runs(w.doc[done], w.pos[done]))
-            grp = prefix_groups(w, w.at[sent])
-            order = sorted(range(len(sent)), key=lambda k: (grp[k], texts[k]))
-            for part in np.split(np.array(order, np.int64), np.flatnonzero(np.diff(grp[order])) + 1):
+            hit = np.flatnonzero(met[at])
+            known = folded(w, ids, hit)
+            if known.any():
+                row(-1 - batch, batch, True, runs(w.doc[hit[known]], w.pos[hit[known]]))
+            sent = hit[~known]
+            anchor = w.anchors(sent)
+            new = np.flatnonzero((np.diff(w.at[sent], prepend=-2) != 1) | (np.diff(anchor, prepend=-1) != 0))
+            first, last = sent[new], sent[np.append(new[1:], len(sent)) - 1] if len(sent) else sent
+            grp = prefix_groups(w, anchor[new])
+            a, b = w.words.begin[w.at[first]].tolist(), w.words.end[w.at[last] + width - 1].tolist()
+            order = np.argsort(grp, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(grp[order])) + 1):
                 if len(part):
-                    some = sent[part]
-                    fixed = np.stack([ids[w.doc[some]], w.doc[some], w.pos[some]]).astype(np.int64).tobytes()
-                    out["grp"].append(int(grp[part[0]])), out["batch"].append(batch), out["done"].append(False)
-                    out["leaves"].append(len(part).to_bytes(8, "little") + fixed + b"\n".join([texts[k] for k in part]))
+                    fixed = np.stack([ids[w.doc[first[part]]], w.doc[first[part]], w.pos[first[part]]]).astype(np.int64).tobytes()
+                    row(int(grp[part[0]]), batch, False, len(part).to_bytes(8, "little") + fixed + b"\n".join([w.words.raw[a[k] : b[k]] for k in part.tolist()]))
         return pa.table({"grp": pa.array(out["grp"], pa.int64()), "batch": pa.array(out["batch"], pa.int64()), "done": pa.array(out["done"], pa.bool_()), "leaves": pa.array(out["leaves"], pa.binary())})
 
     def subtree(table: pa.Table) -> pa.Table:
         if table["done"][0].as_py():
             return table.select(["batch", "leaves"]).rename_columns(["batch", "spans"])
-        batch, fixed, suffixes = [], [], []
+        batch, fixed, stretches = [], [], []
         for b, raw in zip(table["batch"].to_pylist(), table["leaves"], strict=True):
             raw = raw.as_py()
             n = int.from_bytes(raw[:8], "little")
             batch.append(np.full(n, b))
             fixed.append(np.frombuffer(raw[8 : 8 + 24 * n], np.int64).reshape(3, n))
-            suffixes += raw[8 + 24 * n :].split(b"\n")
-        batch, (ids, doc, pos) = np.concatenate(batch), np.concatenate(fixed, axis=1)
-        order, node = Tree(suffixes, width).nodes(ids)
+            stretches += raw[8 + 24 * n :].split(b"\n")
+        tree = Tree(stretches, width)
+        batch, (ids, doc, pos) = np.concatenate(batch)[tree.of], np.concatenate(fixed, axis=1)[:, tree.of]
+        order, node = tree.nodes(ids)
         least = ids[order][np.flatnonzero(np.diff(node, prepend=-1))]
         hit = order[ids[order] > least[node]]
         hit = hit[np.argsort(batch[hit], kind="stable")]
         parts = [p for p in np.split(hit, np.flatnonzero(np.diff(batch[hit])) + 1) if len(p)]
-        return pa.table({"batch": pa.array([int(batch[p[0]]) for p in parts], pa.int64()), "spans": pa.array([runs(doc[p], pos[p]) for p in parts], pa.binary())})
+        return pa.table({"batch": pa.array([int(batch[p[0]]) for p in parts], pa.int64()), "spans": pa.array([runs(doc[p], (pos + tree.place)[p]) for p in parts], pa.binary())})
 
     sent = texts.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(leaves, "grp long, batch long, done boolean, leaves binary")
     return sent.groupBy("grp").applyInArrow(subtree, "batch long, spans binary")
@@ -270,16 +327,18 @@ def without_repeats(docs: DataFrame, width: int = 13, bits: int | None = None) -
         begin = np.searchsorted(doc[order], np.arange(len(rows) + 1))
         out = {"doc_id": [i for i, _ in rows], "n_words": [], "n_removed": [], "kept_text": []}
         for k, (_, t) in enumerate(rows):
-            ws = kept = words(t)
+            text = canon(t)
+            n, removed = text.count(b" ") + 1 if text else 0, 0
             mine = order[begin[k] : begin[k + 1]]
             if len(mine):
-                edge = np.zeros(len(ws) + 1, np.int64)
+                edge = np.zeros(n + 1, np.int64)
                 np.add.at(edge, first[mine], 1)
                 np.add.at(edge, first[mine] + length[mine] + width - 1, -1)
-                kept = [x for x, y in zip(ws, (np.cumsum(edge)[:-1] == 0).tolist(), strict=True) if y]
-            out["n_words"].append(len(ws))
-            out["n_removed"].append(len(ws) - len(kept))
-            out["kept_text"].append(b" ".join(kept).decode())
+                kept = [x for x, y in zip(text.split(b" "), (np.cumsum(edge)[:-1] == 0).tolist(), strict=True) if y]
+                removed, text = n - len(kept), b" ".join(kept)
+            out["n_words"].append(n)
+            out["n_removed"].append(removed)
+            out["kept_text"].append(text.decode())
         return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "n_words": pa.array(out["n_words"], pa.int64()), "n_removed": pa.array(out["n_removed"], pa.int64()), "kept_text": pa.array(out["kept_text"], pa.string())})
 
     return texts.groupBy("batch").cogroup(spans.groupBy("batch")).applyInArrow(strip, schema)
