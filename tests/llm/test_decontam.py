@@ -59,7 +59,7 @@ def test_planted_reordered_and_clean(spark):
         texts.append((10 * k + 3, ", ".join(prose(3) + w).upper()))  # other case and punctuation
     df = documents(spark, texts)
     bench = spark.createDataFrame([(k, " ".join(w), 1) for k, w in items] + [(90, None, 1), (91, "", 1), (92, "w1 w2", 1), (None, "w1 w2 w3 w4 w5", 1)], "item_id long, text string, count long")
-    for most in (decontam.ITEM_WORDS, 100):
+    for most in (decontam.ITEM_BYTES, 100):
         got = decontam.contaminated(df, bench, 0.8, most).collect()
         assert sorted((x["doc_id"], x["item_id"]) for x in got) == sorted((10 * k + d, k) for k in range(8) for d in (0, 1, 3))
         assert all(x["coverage"] == 1.0 for x in got)
@@ -86,3 +86,38 @@ def test_all_pairs_on_small_tables(spark, small):
                 want.add((d, i))
     got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(df, bench).collect()}
     assert got == want and want
+
+
+def test_items_that_share_an_opening():
+    """20,000 items with one opening: texts that begin like them call for none, and matches are as by brute force."""
+    import time
+
+    r = random.Random(8)
+    word = lambda: f"w{r.randint(0, 10**6)}"
+    items = [(k, "one two three four five " + " ".join(word() for _ in range(20))) for k in range(20_000)]
+    index = decontam.Index(items, 0.8)
+    texts = ["one two three four five " + word() for _ in range(20)] + [items[7][1], " ".join(items[9][1].split()[4:]), " ".join(items[11][1].split()[7:])]
+    began = time.perf_counter()
+    found = index.search([decontam.normal(t) for t in texts])
+    assert time.perf_counter() - began < 1
+    assert [[x[0] for x in f] for f in found] == [[]] * 20 + [[7], [9], []]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), min_size=0, max_size=14), max_size=6), st.lists(st.lists(st.integers(0, 3), max_size=25), max_size=4), st.sampled_from([0.5, 0.8, 1.0]))
+def test_search_as_all_pairs(items, texts, threshold):
+    items = [(k, " ".join(f"v{x}" for x in w)) for k, w in enumerate(items)]
+    hs = [decontam.normal(" ".join(f"v{x}" for x in w)) for w in texts]
+    got = decontam.Index(items, threshold).search(hs)
+    for h, found in zip(hs, got):
+        seeds = {tuple(h[k : k + 5]) for k in range(len(h) - 4)}
+        for k, t in items:
+            a = decontam.normal(t)
+            hit = [x for x in found if x[0] == k]
+            possible = {p + q for p in range(len(a) - 4) if tuple(a[p : p + 5]) in seeds for q in range(5)}
+            if len(a) < 5 or len(possible) < threshold * len(a):
+                assert not hit
+            else:
+                words = sum(x[2] for x in decontam.tiles(a, h))
+                assert not hit or hit[0][2] >= threshold * len(a)
+                assert hit or words < threshold * len(a)

@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling with running Karp-Rabin matching.
 
-Seeds: runs of five words that a document shares with a test item. Documents without a seed, or whose seeds
-can't cover enough of an item, are done with. For each remaining pair the longest common runs of unmarked
+Seeds: runs of five words that a document shares with a test item. An item is looked at where a document has one of
+its rarest seeds: as many consecutive ones as can't all be missing, so an opening that thousands of items share calls for none
+of them. Documents whose seeds can't cover enough of an item are done with. For each remaining pair the longest common runs of unmarked
 words are marked again and again, longest first and never overlapping, until no run of five words is left.
 The tiles may lie in any order, so passages that were cut up and rearranged are caught too; a document is
 contaminated by an item when its tiles cover at least the threshold of the item's words.
@@ -22,8 +23,8 @@ from .toxicity import filter_rows
 
 #: Shortest run of words that counts as a tile, and so the shortest item that is searched.
 LEAST = 5
-#: Words of the benchmark that are broadcast at once; a larger benchmark takes several passes.
-ITEM_WORDS = 2_000_000
+#: Bytes of the benchmark that are indexed and broadcast at once (a word has one at least, and a break); a larger benchmark takes several passes.
+ITEM_BYTES = 16_000_000
 #: ASCII letters in lower case; all other ASCII but digits parts words.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
@@ -91,25 +92,22 @@ def open_runs(free: np.ndarray, size: int) -> np.ndarray:
 
 
 class Index:
-    """Seeds of a block of test items."""
+    """Seeds of a block of test items; the rarest of each call for a look at the item."""
 
-    def __init__(self, items: list[tuple[int, str | None]], least: int = LEAST):
-        self.least = least
+    def __init__(self, items: list[tuple[int, str | None]], threshold: float, least: int = LEAST):
+        self.least, self.threshold = least, threshold
         self.items = [(i, h) for i, t in items if len(h := normal(t)) >= least]
-        keys, item, place = [], [], []
-        for k, (_, h) in enumerate(self.items):
-            n = len(h) - least + 1
-            keys.append(Spans(h).of(np.arange(n), least))
-            item.append(np.full(n, k))
-            place.append(np.arange(n))
-        cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-        keys, item, place = cat(keys, np.uint64), cat(item, np.int64), cat(place, np.int64)
+        self.seeds = [Spans(h).of(np.arange(len(h) - least + 1), least) for _, h in self.items]
+        u, n = np.unique(np.concatenate([*self.seeds, np.zeros(0, np.uint64)]), return_counts=True)
+        calls = [rarest(n[np.searchsorted(u, k)], len(h), threshold, least) for k, (_, h) in zip(self.seeds, self.items, strict=True)]
+        keys = np.concatenate([*(k[c] for k, c in zip(self.seeds, calls, strict=True)), np.zeros(0, np.uint64)])
+        item = np.repeat(np.arange(len(self.items)), [c.stop - c.start for c in calls])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.item, self.place = keys[order], item[order], place[order]
+        self.keys, self.item = keys[order], item[order]
         self.seen = np.zeros(1 << 22, bool)
         self.seen[(self.keys >> np.uint64(42)).astype(np.int64)] = True
 
-    def search(self, hs: list[np.ndarray], threshold: float) -> list[list[tuple[int, int, int, int]]]:
+    def search(self, hs: list[np.ndarray]) -> list[list[tuple[int, int, int, int]]]:
         """For each document: (item, tiles, words covered, words of the item) of the items covered enough."""
         out: list[list] = [[] for _ in hs]
         lengths = np.array([len(h) for h in hs], np.int64)
@@ -118,26 +116,26 @@ class Index:
         doc = np.repeat(np.arange(len(hs)), lengths)
         begin = np.cumsum(lengths) - lengths
         at = np.flatnonzero(np.arange(len(doc)) - begin[doc] + self.least <= lengths[doc])
-        key = Spans(np.concatenate(hs)).of(at, self.least)
-        some = self.seen[(key >> np.uint64(42)).astype(np.int64)]
-        at, key = at[some], key[some]
-        lo, hi = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
+        seed = Spans(np.concatenate(hs)).of(at, self.least)
+        some = np.flatnonzero(self.seen[(seed >> np.uint64(42)).astype(np.int64)])
+        lo, hi = np.searchsorted(self.keys, seed[some], "left"), np.searchsorted(self.keys, seed[some], "right")
         hit = hi > lo
-        at, lo, n = at[hit], lo[hit], (hi - lo)[hit]
-        if not len(at):
-            return out
-        seed = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        at = np.repeat(at, n)
-        pair = doc[at] * len(self.items) + self.item[seed]
-        order = np.argsort(pair, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(pair[order])) + 1):
-            d, (name, a) = int(doc[at[part[0]]]), self.items[int(self.item[seed[part[0]]])]
-            if covered(self.place[seed[part]], len(a), self.least).sum() < threshold * len(a):
+        some, lo, n = some[hit], lo[hit], (hi - lo)[hit]
+        called = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        pairs = np.unique(np.repeat(doc[at[some]], n) * len(self.items) + self.item[called])
+        ends = np.searchsorted(doc[at], np.arange(len(hs) + 1))
+        now, mine, order = -1, seed[:0], None
+        for d, k in zip((pairs // len(self.items)).tolist(), (pairs % len(self.items)).tolist()):
+            if d != now:
+                now, mine = d, seed[ends[d] : ends[d + 1]]
+                order = np.sort(mine)
+            (name, a), seeds = self.items[k], self.seeds[k]
+            held = order[np.minimum(np.searchsorted(order, seeds), len(order) - 1)] == seeds
+            if covered(np.flatnonzero(held), len(a), self.least).sum() < self.threshold * len(a):
                 continue  # not even all seeds together cover enough
-            b = self.parted(hs[d], at[part] - begin[d])
-            got = tiles(a, b, self.least)
+            got = tiles(a, self.parted(hs[d], np.flatnonzero(np.isin(mine, seeds[held]))), self.least)
             words = sum(x[2] for x in got)
-            if words >= threshold * len(a):
+            if words >= self.threshold * len(a):
                 out[d].append((name, len(got), words, len(a)))
         return out
 
@@ -156,17 +154,30 @@ def covered(at: np.ndarray, n: int, size: int) -> np.ndarray:
     return np.cumsum(edge)[:-1] > 0
 
 
-def blocks(benchmark: DataFrame, most: int = ITEM_WORDS):
-    """The benchmark as broadcast indexes of about `most` words each; one if it is small."""
+def rarest(counts: np.ndarray, words: int, threshold: float, least: int = LEAST) -> slice:
+    """Consecutive seeds of an item, the rarest together, of which a document that covers enough of it has one at least.
+
+    Where all of m consecutive seeds are missing, m - least + 1 words stay uncovered.
+    """
+    m = int(math.floor((1 - threshold) * words + 1e-9)) + least
+    if m >= len(counts):
+        return slice(0, len(counts))
+    sums = np.concatenate([[0], np.cumsum(counts)])
+    first = int(np.argmin(sums[m:] - sums[:-m]))
+    return slice(first, first + m)
+
+
+def blocks(benchmark: DataFrame, threshold: float, most: int = ITEM_BYTES):
+    """The benchmark as broadcast indexes of about `most` bytes of text each; one if it is small. An item is held whole."""
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
-    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"\S+")))).first()[0] or 0
-    parts = max(1, math.ceil(words / most))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, math.ceil(size / most))
     for k in range(parts):
         part = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k)
-        yield benchmark.sparkSession.sparkContext.broadcast(Index(sorted((r[0], r[1]) for r in part.collect())))
+        yield benchmark.sparkSession.sparkContext.broadcast(Index(sorted((r[0], r[1]) for r in part.collect()), threshold))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, most: int = ITEM_WORDS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, most: int = ITEM_BYTES) -> DataFrame:
     """(doc_id, item_id, n_tiles, matched_words, item_words, coverage) of each document and item it leaks.
 
     Whole texts are searched. Items of fewer than five words, null items and null or empty texts match
@@ -175,13 +186,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
     """
     schema = "doc_id long, item_id long, n_tiles int, matched_words int, item_words int"
     out = None
-    for index in blocks(benchmark, most):
+    for index in blocks(benchmark, threshold, most):
 
         def run(batches, index=index):
             for batch in batches:
                 for part in slices(batch):
                     ids, texts = (part.column(k).to_pylist() for k in (0, 1))
-                    rows = [(i, *x) for i, found in zip(ids, index.value.search([normal(t) for t in texts], threshold), strict=True) for x in found]
+                    rows = [(i, *x) for i, found in zip(ids, index.value.search([normal(t) for t in texts]), strict=True) for x in found]
                     yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate([pa.int64()] * 2 + [pa.int32()] * 3)], ["doc_id", "item_id", "n_tiles", "matched_words", "item_words"])
 
         found = docs.select("doc_id", "text").mapInArrow(typed(run, schema), schema)
@@ -189,8 +200,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
     return out.withColumn("coverage", F.round(F.col("matched_words") / F.col("item_words"), 6))
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, most: int = ITEM_WORDS) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, most: int = ITEM_BYTES) -> DataFrame:
     """The rows of docs, all columns, that leak no item."""
-    for index in blocks(benchmark, most):
-        docs = filter_rows(docs, lambda texts, index=index: [not x for x in index.value.search([normal(t) for t in texts], threshold)])
+    for index in blocks(benchmark, threshold, most):
+        docs = filter_rows(docs, lambda texts, index=index: [not x for x in index.value.search([normal(t) for t in texts])])
     return docs
