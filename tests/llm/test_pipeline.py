@@ -15,7 +15,7 @@ def test_stages_as_brute_force(spark):
     (_, toxic), (_, near), (_, leaks), (_, mixed), (_, shards) = corpus_pipeline.STAGES
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     kept = toxic(spark, docs, SF)
-    texts, y = toxicity.collect_sample(toxicity.labelled_sample(docs, labels, "toxic", 6000, 50_000))
+    texts, y = toxicity.collect_sample(toxicity.labelled_sample(docs, labels, "toxic", 6000))
     model = toxicity.fit(texts, y)
     all_rows = {r["doc_id"]: r["text"] for r in docs.collect()}
     scores = dict(zip(all_rows, toxicity.score_lists(list(all_rows.values()), *model)))

