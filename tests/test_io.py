@@ -39,6 +39,48 @@ def test_pipe_text(spark, tmp_path):
     assert [r["Symbol"] for r in readers.pipe_text(spark, str(tmp_path / "l.txt"), "Symbol string, Name string, Test string").collect()] == ["A", "B"]
 
 
+@pytest.mark.parametrize("line", ["2", "3|y|z|N", "|", "4|x"])
+def test_pipe_text_of_another_width(spark, tmp_path, line):
+    (tmp_path / "l.txt").write_text(f"Symbol|Name|Test\nA|Alpha|N\n{line}\nFile Creation Time: 0101|||\n")
+    with pytest.raises(Exception, match="not 3 fields"):
+        readers.pipe_text(spark, str(tmp_path / "l.txt"), "Symbol string, Name string, Test string").select("Symbol").collect()
+
+
+def test_pipe_text_types_and_nulls(spark, tmp_path):
+    (tmp_path / "l.txt").write_text("a|b\r\n1|\r\n2|x\r\n")
+    assert [tuple(r) for r in readers.pipe_text(spark, str(tmp_path / "l.txt"), "a int, b string").collect()] == [(1, None), (2, "x")]
+
+
+def test_readers_never_miss_the_pointer(spark, tmp_path):
+    """A reader that looks on between every two file operations of 30 swaps sees the old or the new text."""
+    import threading
+
+    path, seen, over = str(tmp_path / "CURRENT"), [], threading.Event()
+    sinks.point(spark, path, "0")
+
+    def look():
+        while not over.is_set():
+            seen.append(sinks.pointed(spark, path))
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    for k in range(1, 30):
+        sinks.point(spark, path, str(k))
+    over.set()
+    reader.join()
+    assert None not in seen and [int(x) for x in seen] == sorted(int(x) for x in seen) and sinks.pointed(spark, path) == "29"
+
+
+def test_unfinished_folder_is_written_anew(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.range(3).write.parquet(str(path))
+    (path / "_SUCCESS").unlink()
+    digest = sinks.write_immutable(spark.range(5), str(path))
+    assert spark.read.parquet(str(path)).count() == 5 and sinks.content_digest(spark.range(5).repartition(2)) == digest
+    other = spark.range(5).selectExpr("if(id = 4, 5, id) id")
+    assert sinks.content_digest(other) != digest and sinks.content_digest(spark.range(0)) == "0-0-0-0-0"
+
+
 def test_immutable_and_reuse(spark, tmp_path):
     df = spark.range(10)
     path = str(tmp_path / "t")

@@ -185,6 +185,9 @@ def test_heads_and_chains(spark):
 def test_release_faults_and_guards(spark):
     m = spark.createDataFrame([("r1", None, 1, 1), ("r2", "r1", 2, 2), ("r3", "r1", 3, 3), ("r4", "gone", 1, 1), ("r5", "r6", 1, 1), ("r6", "r5", 1, 1), ("r7", "r3", 2, 1)], "release_id string, parent string, source_cutoff int, availability int")
     assert rows(releases.chain_faults(m), "release_id", "fault") == [("r1", "fork"), ("r4", "missing_parent"), ("r4", "unreachable"), ("r5", "unreachable"), ("r6", "unreachable"), ("r7", "availability_decreases"), ("r7", "cutoff_decreases")]
+    chain = spark.range(1, 12_001).selectExpr("concat('r', id) release_id", "if(id = 1, null, concat('r', id - 1)) parent", "1 source_cutoff", "1 availability")
+    assert releases.chain_faults(chain).count() == 0 and releases.chain_faults(chain.limit(0)).count() == 0
+    assert releases.chain_faults(chain.where("release_id <> 'r5000'")).where("fault = 'unreachable'").count() == 7000
     delta = spark.createDataFrame([(5,)], "session_date int")
     assert releases.check_delta(delta, 4).count() == 1
     with pytest.raises(ValueError):
@@ -208,6 +211,42 @@ def test_lifecycles(spark):
     assert rows(lifecycle.lifecycles(df), "ticker", "identity_value", "first_active_date", "last_active_date", "n_rows") == [("T", "s1", day(1), day(5), 4), ("T", "s2", day(4), day(4), 1), ("U", "c9", day(1), day(2), 2)]
 
 
+def plain_lifecycles(rows):
+    """rows (day, identity triple) of one ticker in order -> sorted (first, last, n, identity) of its records."""
+    records = []
+    for day, own in rows:
+        def weight(r):
+            pairs = [(3 - k, x == y) for k, (x, y) in enumerate(zip(r["id"], own)) if x and y]
+            return 0 if any(not same for _, same in pairs) else sum(w for w, _ in pairs)
+
+        if any(own):
+            best = max((weight(r) for r in records), default=0)
+            fit = [r for r in records if (weight(r) == best if best else not any(r["id"]))]
+        else:
+            fit = records
+        if fit:
+            r = max(fit, key=lambda r: r["last"])
+        else:
+            r = {"first": day, "n": 0, "id": (None,) * 3}
+            records.append(r)
+        r |= {"last": day, "n": r["n"] + 1, "id": tuple(y or x for x, y in zip(r["id"], own))}
+    return sorted((r["first"], r["last"], r["n"], *map(str, r["id"])) for r in records)
+
+
+def test_lifecycles_as_loop(spark):
+    """Random histories, most of them unclear, in one partition and in many."""
+    import random
+
+    r = random.Random(7)
+    data = {f"T{t}": [(dt.date(2024, 1, d), tuple(r.choice([None, None, *values]) for values in (["s1", "s2"][: 1 + t % 2], ["c1", "c2"], ["7", "8"][: 1 + t % 2]))) for d in range(1, r.randint(2, 28))] for t in range(40)}
+    data["plain"] = [(dt.date(2024, 1, d), ("s", None, "7" if d == 2 else None) if d % 3 else (None,) * 3) for d in range(1, 9)]
+    df = spark.createDataFrame([(t, d, *own, "CS", None, "X") for t, history in data.items() for d, own in history], "ticker string, session_date date, share_class_figi string, composite_figi string, cik string, type string, name string, primary_exchange string")
+    for source in (df, df.repartition(9)):
+        found = lifecycle.lifecycles(source).collect()
+        for t, history in data.items():
+            assert sorted((x["first_active_date"], x["last_active_date"], x["n_rows"], *(str(x[f]) for f in lifecycle.IDENTITY)) for x in found if x["ticker"] == t) == plain_lifecycles(history)
+
+
 def test_history_keeps_last_known(spark):
     df = spark.createDataFrame([("T", 1, True, "a"), ("T", 2, False, None), ("T", 3, True, None)], "t string, d int, on boolean, x string")
     r = masters.history(df, "t", "d", "on", ["x"], F.lit(3)).first()
@@ -238,6 +277,12 @@ def test_semantics(spark):
 def test_ordered_digest_in_chunks(spark):
     df = spark.createDataFrame([("g", k, f"v{k}") for k in range(25)], "g string, o int, v string")
     a, b = (sets.ordered_digest(df.repartition(n), ["g"], "o", "v", 10).first()["digest"] for n in (1, 9))
+    import hashlib
+
+    sha = lambda xs: hashlib.sha256(",".join(xs).encode()).hexdigest()
+    for n in (9, 10, 25):  # one chunk or several: one rule
+        got = sets.ordered_digest(df.where(F.col("o") < n), ["g"], "o", "v", 10).first()["digest"]
+        assert got == sha([sha([f"v{k}" for k in range(c, min(c + 10, n))]) for c in range(0, n, 10)])
     assert a == b != sets.ordered_digest(df.where("o < 24"), ["g"], "o", "v", 10).first()["digest"]
 
 
@@ -271,3 +316,14 @@ def test_change_events(spark):
     assert bad.count() == 2
     status = dimensions.request_status(spark.createDataFrame([("F",), ("Q",)], "figi string"), good, "figi")
     assert rows(status, "figi", "event_count", "status") == [("F", 2, "returned"), ("Q", 0, "empty")]
+
+
+def test_folded(spark):
+    """As str.casefold, letter by letter and in words."""
+    from tidemark.functions import scalar
+
+    letters = [chr(c) for c in range(0x20, 0x1FFFF) if not 0xD800 <= c < 0xE000 and (chr(c).casefold() != chr(c) or c % 97 == 0)]
+    texts = [*letters, "Straße ΣΊΣΥΦΟΣ ﬁn İ", "ABC def", "", None]
+    got = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", "t", scalar.folded("t").alias("f")).collect()
+    wrong = [(r["t"], r["f"]) for r in got if r["f"] != (r["t"].casefold() if r["t"] is not None else None)]
+    assert not wrong, wrong[:20]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -117,8 +119,20 @@ def accession_of(url: str | Column) -> Column:
 
 
 def folded(text: str | Column) -> Column:
-    """Lower case for ASCII text; raises on other text, where case folding would differ."""
-    return F.when(F.assert_true(col(text).isNull() | col(text).rlike(r"^\p{ASCII}*$")).isNull(), F.lower(col(text)))
+    """Full case folding, as str.casefold: lower case, and beyond ASCII what folding changes in lower-case letters too."""
+    lower = F.lower(col(text))
+    one, more = fold_tables()
+    other = F.translate(lower, "".join(one), "".join(one.values()))
+    for c, to in more.items():
+        other = F.replace(other, F.lit(c), F.lit(to))
+    return F.when(col(text).rlike(r"^\p{ASCII}*$"), lower).otherwise(other)
+
+
+@cache
+def fold_tables() -> tuple[dict[str, str], dict[str, str]]:
+    """Lower-case letters that folding changes, to one letter and to several, by the rules of Python's Unicode tables."""
+    changed = {c: to for c in map(chr, range(128, 0x1FFFF)) if c == c.lower() and (to := c.casefold()) != c}
+    return {c: to for c, to in changed.items() if len(to) == 1}, {c: to for c, to in changed.items() if len(to) > 1}
 
 
 FIGI_RULES = ("null", "empty", "whitespace_only", "surrounding_whitespace", "length_not_12", "non_upper_ascii_alnum", "prefix_not_BBG")

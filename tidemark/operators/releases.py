@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..lineage import cut
+
 
 def partition_view(receipts: DataFrame, key: list[str], release_index: str, available: str | None = None, cutoff: Column | None = None) -> DataFrame:
     """The last receipt of each partition in release order; with a cutoff, of those available by then."""
@@ -27,22 +29,22 @@ def row_view(versions: DataFrame, key: list[str], version: str, predecessor: str
 def chain_faults(manifests: DataFrame) -> DataFrame:
     """(release_id, fault): fork, missing parent, cutoff going back, availability before the parent's, unreachable (a cycle).
 
-    manifests: release_id, parent, source_cutoff, availability. A chain is short; reachability is a recursive query over it.
+    manifests: release_id, parent, source_cutoff, availability. Chains of any length: each round doubles how far back every
+    release looks, so a sound one of n releases takes log2(n) rounds; one that comes to no first release by then is lost.
     """
     m = manifests.select("release_id", "parent", "source_cutoff", "availability")
     p = m.select(F.col("release_id").alias("_pid"), F.col("source_cutoff").alias("_pc"), F.col("availability").alias("_pa"))
     j = m.join(p, F.col("parent") == F.col("_pid"), "left")
     fault = lambda test, name: j.where(test).select("release_id", F.lit(name).alias("fault"))
     forks = m.where("parent is not null").groupBy("parent").agg(F.count("*").alias("n")).where("n > 1").select(F.col("parent").alias("release_id"), F.lit("fork").alias("fault"))
-    spark = m.sparkSession
-    m.createOrReplaceTempView("_tidemark_manifests")
-    reached = spark.sql("""
-        with recursive chain(release_id, depth) max recursion level 10000 as (
-          select release_id, 0 from _tidemark_manifests where parent is null
-          union all
-          select m.release_id, c.depth + 1 from _tidemark_manifests m join chain c on m.parent = c.release_id where c.depth < 9000)
-        select distinct release_id from chain""")
-    lost = m.join(reached, "release_id", "left_anti").select("release_id", F.lit("unreachable").alias("fault"))
+    back = cut(m.groupBy("release_id").agg(F.max("parent").alias("at"), F.max(F.col("parent").isNull()).alias("first")))
+    n = back.count()
+    for _ in range(n.bit_length() if n else 0):
+        if back.where("not first and at is not null").isEmpty():
+            break
+        further = back.select(F.col("release_id").alias("at"), F.col("at").alias("_at"), F.col("first").alias("_first"))
+        back = cut(back.join(further, "at", "left").select("release_id", F.when(~F.col("first"), F.when(F.coalesce("_first", F.lit(False)), F.col("at")).otherwise(F.col("_at"))).alias("at"), F.coalesce(F.col("first") | F.col("_first"), "first").alias("first")))
+    lost = m.join(back.where("first").select("release_id"), "release_id", "left_anti").select("release_id", F.lit("unreachable").alias("fault"))
     return forks.unionAll(fault("parent is not null and _pid is null", "missing_parent")).unionAll(fault("source_cutoff < _pc", "cutoff_decreases")).unionAll(fault("availability < _pa", "availability_decreases")).unionAll(lost)
 
 

@@ -32,10 +32,10 @@ def set_digest(c: str) -> Column:
 
 
 def ordered_digest(df: DataFrame, by: list[str], order: str, value: str, chunk: int = 100_000) -> DataFrame:
-    """(by, n_ids, digest) of a group's values in order: SHA-256 over the digests of chunks of fixed length.
+    """(by, n_ids, digest) of a group's values in order: SHA-256 of the joined digests of its chunks, each of `chunk` values.
 
-    A digest over order can't be combined, but chunks can: a group of any size is digested chunk by chunk, each
-    within a task, and only the chunk digests of a group meet. One chunk is digested as it is.
+    The same for groups of every size: one of a single chunk is the digest of that chunk's digest. Numbering runs over
+    a group in order, spilling if need be; strings are joined chunk by chunk, and only the chunk digests of a group meet.
     """
     from pyspark.sql import Window as W
 
@@ -43,8 +43,8 @@ def ordered_digest(df: DataFrame, by: list[str], order: str, value: str, chunk:
     rows = df.select(*by, F.col(order).alias("_o"), F.col(value).cast("string").alias("_v"), n.alias("_n")).withColumn("_chunk", F.floor(F.col("_n") / chunk))
     sha = lambda c: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda x: x["v"]), ","), 256)
     parts = rows.groupBy(*by, "_chunk").agg(F.count("*").alias("_k"), sha(F.struct(F.col("_n").alias("n"), F.col("_v").alias("v"))).alias("_d"))
-    whole = parts.groupBy(*by).agg(F.sum("_k").alias("n_ids"), F.count("*").alias("_chunks"), F.max("_d").alias("_one"), sha(F.struct(F.col("_chunk").alias("n"), F.col("_d").alias("v"))).alias("_many"))
-    return whole.select(*by, "n_ids", F.when(F.col("_chunks") == 1, F.col("_one")).otherwise(F.col("_many")).alias("digest"))
+    whole = parts.groupBy(*by).agg(F.sum("_k").alias("n_ids"), sha(F.struct(F.col("_chunk").alias("n"), F.col("_d").alias("v"))).alias("digest"))
+    return whole.select(*by, "n_ids", "digest")
 
 
 def owners(df: DataFrame, key: str | Column, owner: str, name: str = "n_owners", more_than: int = 1) -> DataFrame:

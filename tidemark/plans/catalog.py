@@ -479,7 +479,8 @@ def set_digest(spark, d):
     return t(spark, d, "events").groupBy("user_id").agg(sets.set_digest("event_type").alias("set_digest"))
 
 
-@query("""select user_id, count(*) as n_ids, sha256(string_agg(event_id::varchar, ',' order by ts)) as digest from events group by 1""")
+@query("""select user_id, sum(k)::bigint as n_ids, sha256(string_agg(d, ',' order by chunk)) as digest from (
+  select user_id, n // 100000 as chunk, count(*) as k, sha256(string_agg(event_id::varchar, ',' order by n)) as d from (select user_id, event_id, row_number() over (partition by user_id order by ts) - 1 as n from events) group by 1, 2) group by 1""")
 def ordered_lineage_digest(spark, d):
     return sets.ordered_digest(t(spark, d, "events"), ["user_id"], "ts", "event_id")
 

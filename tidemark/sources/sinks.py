@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,26 +16,38 @@ class ImmutableError(ValueError):
 
 
 def content_digest(df: DataFrame) -> str:
-    """A digest of a table's rows that doesn't depend on their order or files; repeated rows count."""
-    h = F.xxhash64(*df.columns)
-    row = df.agg(F.count("*").alias("n"), F.sum(h.cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(h, F.lit(1))).alias("x")).first()
-    return f"{row['n']}-{row['s'] or 0}-{row['x'] or 0}"
+    """A digest of a table's rows that doesn't depend on their order or files; repeated rows count.
+
+    The count, and the sums of the four 64-bit words of each row's SHA-256.
+    """
+    row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}), 256)
+    words = [F.sum(F.conv(F.substring("_h", 1 + 16 * k, 16), 16, 10).cast("decimal(38,0)")).alias(f"s{k}") for k in range(4)]
+    got = df.select(row.alias("_h")).agg(F.count("*").alias("n"), *words).first()
+    return "-".join([str(got["n"]), *(f"{int(got[f's{k}'] or 0):x}" for k in range(4))])
+
+
+def place(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = place(spark, path)
+    return fs.exists(p)
 
 
 def write_immutable(df: DataFrame, path: str) -> str:
-    """Writes once; a second write of equal rows is a no-op, of other rows an error. Returns the content digest."""
+    """Writes once; a second write of equal rows is a no-op, of other rows an error. Returns the content digest.
+
+    A folder that a writer left unfinished (without _SUCCESS) doesn't count and is written anew.
+    """
     spark, digest = df.sparkSession, content_digest(df)
-    if exists(spark, path):
+    if exists(spark, f"{path}/_SUCCESS"):
         if content_digest(spark.read.parquet(path)) != digest:
             raise ImmutableError(path)
         return digest
-    df.write.option("compression", "zstd").mode("errorifexists").parquet(path)
+    df.write.option("compression", "zstd").mode("overwrite").parquet(path)
     return digest
 
 
@@ -50,28 +63,45 @@ def write_contract(df: DataFrame, contract: TableContract, path: str) -> None:
 
 
 def put_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes a small file beside its place and renames it there: readers see the old or the new one."""
-    jvm = spark.sparkContext._jvm
-    p, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".part")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Writes a small file beside its place and renames it there; an error if the place is taken by another text."""
+    (p, fs), (part, _) = place(spark, path), place(spark, f"{path}.{uuid4().hex}.part")
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(part, p)
+    if not (not fs.exists(p) and fs.rename(part, p)):
+        fs.delete(part, False)
+        if get_text(spark, path) != text:
+            raise ImmutableError(path)
 
 
 def get_text(spark: SparkSession, path: str) -> str | None:
     return "\n".join(r["value"] for r in spark.read.text(path).collect()) if exists(spark, path) else None
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions in a pointer folder."""
+    p, fs = place(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def point(spark: SparkSession, path: str, text: str) -> None:
+    """Adds the next version to a pointer folder. No version is ever removed or changed, so readers see the old or the new one."""
+    put_text(spark, f"{path}/{max(versions(spark, path), default=0) + 1:012d}", text)
+
+
+def pointed(spark: SparkSession, path: str) -> str | None:
+    """The text of the highest version in a pointer folder."""
+    known = versions(spark, path)
+    return get_text(spark, f"{path}/{known[-1]:012d}") if known else None
+
+
 def publish(tables: dict[str, DataFrame], root: str, release: str) -> None:
-    """Writes all tables under a release folder, then points the one pointer file to it: all become visible together."""
+    """Writes all tables under a release folder, then adds a version to the one pointer: all become visible together."""
     spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
         df.write.option("compression", "zstd").mode("errorifexists").parquet(f"{root}/{release}/{name}")
-    put_text(spark, f"{root}/CURRENT", json.dumps({"release": release, "tables": sorted(tables)}))
+    point(spark, f"{root}/CURRENT", json.dumps({"release": release, "tables": sorted(tables)}))
 
 
 class GateError(ValueError):
@@ -89,7 +119,7 @@ def publish_checked(tables: dict[str, DataFrame], root: str, release: str, resul
 
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the published release; an error before anything is published, or for a table outside of it."""
-    text = get_text(spark, f"{root}/CURRENT")
+    text = pointed(spark, f"{root}/CURRENT")
     if text is None:
         raise LookupError("nothing is published")
     now = json.loads(text)
