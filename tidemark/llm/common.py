@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +10,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..lineage import checkpoint_dir as checkpoint_dir
+from ..lineage import cut as cut
+
 #: Code points that separate words: space and the controls 9 to 13. bytes.split() splits on these.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -53,25 +54,6 @@ class Spans:
         return mix64((self.sums[start + length] - self.sums[start]) * self.up[start] + np.uint64(1) * np.asarray(length).astype(np.uint64))
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; one of our own only on a local master, where none is named."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not named:
-        if not re.fullmatch(r"local(\[[^\[\]]*\])?", sc.master):
-            raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
-        named = tempfile.mkdtemp(prefix="tidemark-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(named)
-    return named
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage through the shared checkpoint folder: a lost executor does not lose it."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def spare(df: DataFrame, *names: str) -> list[str]:
     """Names like these that no column of df has, whatever their case."""
     taken = {c.lower() for c in df.columns}
