@@ -49,8 +49,9 @@ def test_groups_and_chains(spark, docs_of, monkeypatch):
     limit = [" ".join(f"l{i}" for i in range(k)) for k in (44, 54, 55)]  # 40, 50 and 51 shingles: 0.8 and just below
     rows = list(enumerate([*EDGES, *group, *chain, *limit]))
     want = plain_heads(rows)
-    for frequent, block in ((1 << 18, 4096), (0, 4096), (1 << 18, 8)):  # another order of grams, keys beyond a block: the same result
+    for frequent, block, batch in ((1 << 18, 4096, 250_000), (0, 4096, 50), (1 << 18, 8, 250_000)):  # another order of grams, small batches, keys beyond a block: the same result
         monkeypatch.setattr(shingles, "FREQUENT", frequent)
+        monkeypatch.setattr(shingles, "BATCH", batch)
         got = {r["doc_id"]: r["component_id"] for r in shingles.shingle_components(docs_of([t for _, t in rows]), block).collect()}
         assert got == want
     assert len(set(want[i] for i in range(len(EDGES), len(EDGES) + len(group)))) == 1

@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 
-from tidemark.llm import substrings
+from tidemark.llm import sieve, substrings
 
 from .conftest import EDGES, documents
 
@@ -55,8 +55,9 @@ def pieces_of_pieces(seed):
 
 
 def test_many_batches_ranges_and_groups(spark, monkeypatch):
-    for name, value in (("SUBTREE", 50), ("BATCH", 200), ("RANGE", 300)):
+    for name, value in (("SUBTREE", 50), ("BATCH", 200)):
         monkeypatch.setattr(substrings, name, value)
+    monkeypatch.setattr(sieve, "RANGE", 300)
     rows = pieces_of_pieces(4)
     assert run(documents(spark, rows).repartition(7)) == plain(rows)
 
@@ -87,8 +88,8 @@ def test_tree_is_a_suffix_array():
 @given(st.sets(st.integers(0, 2**50), min_size=1, max_size=60), st.integers(1, 9))
 def test_messages_give_keys_back(values, ranges):
     keys = np.array(sorted(values), np.uint64)
-    of, begin = substrings.ranges_of(keys, ranges, 51)
-    back = [substrings.unpacked(memoryview(substrings.packed(keys[a:b]))) for a, b in zip(begin, begin[1:])]
+    of, begin = sieve.ranges_of(keys, ranges, 51)
+    back = [sieve.unpacked(memoryview(sieve.packed(keys[a:b]))) for a, b in zip(begin, begin[1:])]
     assert np.concatenate(back).tolist() == keys.tolist() and of.max() < ranges and (np.diff(of) > 0).all()
 
 

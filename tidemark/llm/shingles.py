@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, mix64, per_batch, typed, word_hashes
 from .components import star_components
+from .sieve import MESSAGE, key_bits, message, ranges_for, sieve, told
 from .simhash import BITS, BLOCK, block_links, by_group, keep_heads
 
 WIDTH, PERCENT = 5, 80
@@ -34,6 +35,8 @@ GROWTH, SALT = 8, 4
 SAMPLE, FREQUENT = 1 << 14, 1 << 18
 #: Slots of the bit set that tells which texts are worked out again for the check.
 SLOTS = 1 << 22
+#: Grams in a batch that the sieve works on, on average.
+BATCH = 250_000
 WORDS = ["f0", "f1", "f2", "f3"]
 
 
@@ -165,15 +168,15 @@ def in_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     return small.unionByName(filed.join(pairs, ["token", "unit"]).select(*small.columns))
 
 
-def candidates(rows: DataFrame, spanning: bool, block: int = BLOCK) -> DataFrame:
+def candidates(rows: DataFrame, prints: DataFrame, spanning: bool, block: int = BLOCK) -> DataFrame:
     """(a, b, d) nodes of different root, d bits apart, under a token of both, of sizes and places that allow the similarity.
 
-    rows: token, root, node, n, pos and the fingerprint. If not spanning, every such pair within the radius is
+    rows: token, root, node, n, pos; prints: node and its fingerprint. If not spanning, every such pair within the radius is
     there: under the first token that two similar sets share, no more than that one and the smaller rest can be
     shared. Spanning: those of a least spanning forest in each block.
     """
     columns = ["grp", "side", "root", "node", "n", "pos", *WORDS]
-    dealt = in_blocks(rows, block).select(*columns).repartition("grp").sortWithinPartitions("grp", "node")
+    dealt = in_blocks(rows, block).join(prints, "node").select(*columns).repartition("grp").sortWithinPartitions("grp", "node")
 
     def work(keys, side, root, node, n, pos, *words):
         n, pos = n.astype(np.int64), pos.astype(np.int64)
@@ -215,6 +218,39 @@ def joined(docs: DataFrame, links: DataFrame, pairs: DataFrame) -> DataFrame:
         share *= GROWTH
 
 
+def shared_grams(marks: DataFrame) -> DataFrame:
+    """(token, node, n, pos) of the first grams that several sets have, and of few others.
+
+    Sets are made distinct before they are dealt into batches; a gram passes if its batch has it twice or another one has it.
+    """
+    total = marks.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    ranges, bits = ranges_for(total), key_bits(total)
+    sets = marks.groupBy("node").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    sets = sets.withColumn("batch", F.pmod(F.xxhash64("node"), F.lit(max(1, -(-total // BATCH))).cast("long")))
+
+    def keys_of(table):
+        tokens = table["tokens"].combine_chunks()
+        flat = tokens.flatten().to_numpy()
+        return flat, flat.view(np.uint64) >> np.uint64(64 - bits)
+
+    def send(table):
+        return message(table["batch"][0].as_py(), np.unique(keys_of(table)[1]), ranges, bits)
+
+    def keep(table, flags):
+        if not table.num_rows:
+            return pa.table({"token": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "n": pa.array([], pa.int32()), "pos": pa.array([], pa.int32())})
+        tokens, keys = keys_of(table)
+        u, at, count = np.unique(keys, return_inverse=True, return_counts=True)
+        hit = np.flatnonzero(((count > 1) | told(u, flags, ranges, bits))[at])
+        lengths = np.array(table["tokens"].combine_chunks().value_lengths().to_numpy())
+        of, begin = np.repeat(np.arange(len(lengths)), lengths), np.cumsum(lengths) - lengths
+        row = of[hit]
+        return pa.table({"token": pa.array(tokens[hit]), "node": pa.array(table["node"].to_numpy()[row]), "n": pa.array(table["n"].to_numpy()[row], pa.int32()), "pos": pa.array(hit - begin[row], pa.int32())})
+
+    replies = sieve(sets.groupBy("batch").applyInArrow(send, MESSAGE))
+    return sets.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(keep, "token long, node long, n int, pos int")
+
+
 def shingle_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, component_id) for every row of docs (doc_id, text, anything else).
 
@@ -223,15 +259,13 @@ def shingle_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     id. Repeated rows stay repeated. An empty table gives an empty result.
     """
     marks = cut(marks_of(docs))
-    classes = cut(marks.groupBy("node").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("n", "tokens", *WORDS)]))
-    rows = classes.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
-    met = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("token")
-    shared = cut(rows.join(met, "token", "left_semi").select("token", "node", "n", "pos"))
-    prints = classes.select("node", *WORDS)  # travels with rows of shared grams alone
-    links = cut(similar(docs, candidates(shared.withColumn("root", F.col("node")).join(prints, "node"), True, block).select("a", "b")))
+    classes = marks.groupBy("node").agg(F.min("doc_id").alias("least"))
+    prints = marks.groupBy("node").agg(*[F.first(c).alias(c) for c in WORDS])  # travels with rows of shared grams alone
+    shared = cut(shared_grams(marks))
+    links = cut(similar(docs, candidates(shared.withColumn("root", F.col("node")), prints, True, block).select("a", "b")))
     placed = rooted(shared, star_components(links))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    links = joined(docs, links, cut(candidates(placed.join(mixed, "token", "left_semi").join(prints, "node"), False, block)))
+    links = joined(docs, links, cut(candidates(placed.join(mixed, "token", "left_semi"), prints, False, block)))
     heads = cut(rooted(classes.select("node", "least"), star_components(links)))
     named = heads.join(heads.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
     return marks.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")

@@ -27,19 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Spans, mix64, slices, typed
+from .sieve import MESSAGE, binaries, key_bits, message, ranges_for, sieve, told
 
 #: Words of a batch of documents, on average: 2 MB of text.
 BATCH = 300_000
-#: Hashes in a range of the sieve, on average, and the most ranges.
-RANGE, RANGES = 4_000_000, 1 << 18
 #: Suffixes in a subtree, on average and at most if all pass the sieve.
 SUBTREE = 1_000_000
 #: A word is frequent from this share of all words on, so the census has 4,096 rows at most.
 FREQUENT = 1 / 4096
 #: Words of an anchor.
 ANCHOR = 3
-#: Bits of a window's hash beyond those that number the windows: one in 2**SPARE passes the sieve by chance.
-SPARE = 7
 
 Rows = list[tuple[int | None, str | None]]
 #: Bytes that part words, as a space.
@@ -132,46 +129,6 @@ class Windows:
         return out
 
 
-def ranges_of(keys: np.ndarray, ranges: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the ranges that sorted keys of some bits fall into, and where each begins; the end is the last."""
-    width = np.uint64(max(1, -(-(1 << bits) // ranges)))
-    of = (keys // width).astype(np.int64)
-    begin = np.flatnonzero(np.diff(of, prepend=-1))
-    return of[begin], np.append(begin, len(keys))
-
-
-def packed(keys: np.ndarray) -> bytes:
-    """Sorted keys as the first and the steps, byte by byte, as many bytes as the largest step takes."""
-    step = np.diff(keys)
-    size = max(1, (int(step.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([size]) + keys[:1].tobytes() + np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
-
-
-def unpacked(raw: memoryview) -> np.ndarray:
-    size, n = raw[0], (len(raw) - 9) // raw[0]
-    out = np.zeros((n + 1, 8), np.uint8)
-    out[0] = np.frombuffer(raw[1:9], np.uint8)
-    out[1:, :size] = np.frombuffer(raw[9:], np.uint8).reshape(size, n).T
-    return np.cumsum(out.reshape(-1).view(np.uint64), dtype=np.uint64)
-
-
-def binaries(column: pa.ChunkedArray) -> list[memoryview]:
-    return [memoryview(x.as_buffer()) for x in column]
-
-
-def sieve(messages: DataFrame) -> DataFrame:
-    """(batch, range, flags) of messages (range, batch, keys): a bit for each key that another batch sent too; none if there is none."""
-
-    def work(table: pa.Table) -> pa.Table:
-        parts = [unpacked(x) for x in binaries(table["keys"])]
-        _, at, n = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        twice = np.split(n[at] > 1, np.cumsum([len(p) for p in parts])[:-1])
-        some = np.flatnonzero([x.any() for x in twice])
-        return pa.table({"batch": table["batch"].take(some), "range": table["range"].take(some), "flags": pa.array([np.packbits(twice[k]).tobytes() for k in some], pa.binary())})
-
-    return messages.groupBy("range").applyInArrow(work, "batch long, range long, flags binary")
-
-
 class Tree:
     """The suffixes of stretches of text as word ranks, in the order of a suffix array with longest common prefixes."""
 
@@ -223,19 +180,16 @@ def repeats(texts: DataFrame, total: int, often: list[tuple[int, float]], width:
 
     texts: batch, doc_id, text. A key of fewer bits lets more suffixes through the sieve and changes no result.
     """
-    ranges, groups = min(RANGES, max(1, math.ceil(total / RANGE))), max(1, math.ceil(total / SUBTREE))
-    bits = bits or min(62, max(16, math.ceil(math.log2(max(2, total))) + SPARE))
+    ranges, groups = ranges_for(total), max(1, math.ceil(total / SUBTREE))
+    bits = bits or key_bits(total)
     often = sorted(often)
     frequent = texts.sparkSession.sparkContext.broadcast((np.array([x[0] for x in often], np.uint64), np.array([int(x[1] * 1024) for x in often], np.int64)))
     plain, need = int(-math.log2(FREQUENT) * 1024), int(1024 * (math.log2(groups) + 2)) if groups > 1 else 0
 
     def send(table: pa.Table) -> pa.Table:
-        keys = np.unique(Windows(ordered(table), width, bits).key)
-        of, begin = ranges_of(keys, ranges, bits)
-        batch = table["batch"][0].as_py()
-        return pa.table({"range": pa.array(of, pa.int64()), "batch": pa.array([batch] * len(of), pa.int64()), "keys": pa.array([packed(keys[a:b]) for a, b in zip(begin[:-1], begin[1:])], pa.binary())})
+        return message(table["batch"][0].as_py(), np.unique(Windows(ordered(table), width, bits).key), ranges, bits)
 
-    replies = sieve(texts.groupBy("batch").applyInArrow(send, "range long, batch long, keys binary"))
+    replies = sieve(texts.groupBy("batch").applyInArrow(send, MESSAGE))
 
     def prefix_groups(w: Windows, at: np.ndarray) -> np.ndarray:
         """The group of the suffixes at some words: of whole 1024ths of a bit, so equal suffixes get equal prefixes."""
@@ -259,12 +213,7 @@ def repeats(texts: DataFrame, total: int, often: list[tuple[int, float]], width:
             rows, batch = ordered(table), table["batch"][0].as_py()
             w, ids = Windows(rows, width, bits), np.array([i or 0 for i, _ in rows], np.int64)
             keys, at, n = np.unique(w.key, return_inverse=True, return_counts=True)
-            met = n > 1
-            of, begin = ranges_of(keys, ranges, bits)
-            told = dict(zip(flags["range"].to_pylist(), binaries(flags["flags"]), strict=True))
-            for r, a, b in zip(of.tolist(), begin[:-1].tolist(), begin[1:].tolist()):
-                if r in told:
-                    met[a:b] |= np.unpackbits(np.frombuffer(told[r], np.uint8))[: b - a].astype(bool)
+            met = (n > 1) | told(keys, flags, ranges, bits)
             hit = np.flatnonzero(met[at])
             known = folded(w, ids, hit)
             if known.any():
