@@ -8,8 +8,9 @@ order over all texts, those frequent in a sample last, and two sets of that simi
 n - ceil(n * PERCENT / 100) + 1 of each, so no pair is lost; the sample changes the order and the cost, never
 the result. Pairs within the radius are checked on whole sets.
 
-A first round only takes the links of least spanning forests, so a large group of near copies gives one link a
-text; a second takes all pairs that still lie apart, and checks the nearest of two components first.
+A first round only takes the links of least spanning forests, and a second those to the nearest texts, so a large group
+of near copies gives a few links a text; a third takes all pairs that still lie apart. Of the pairs between two
+components the nearest are checked first.
 """
 
 from __future__ import annotations
@@ -168,12 +169,12 @@ def in_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     return small.unionByName(filed.join(pairs, ["token", "unit"]).select(*small.columns))
 
 
-def candidates(rows: DataFrame, prints: DataFrame, spanning: bool, block: int = BLOCK) -> DataFrame:
+def candidates(rows: DataFrame, prints: DataFrame, thin: str = "", block: int = BLOCK) -> DataFrame:
     """(a, b, d) nodes of different root, d bits apart, under a token of both, of sizes and places that allow the similarity.
 
-    rows: token, root, node, n, pos; prints: node and its fingerprint. If not spanning, every such pair within the radius is
-    there: under the first token that two similar sets share, no more than that one and the smaller rest can be
-    shared. Spanning: those of a least spanning forest in each block.
+    rows: token, root, node, n, pos; prints: node and its fingerprint. Every such pair within the radius is
+    there, unless they are thinned out within each block (see block_links): under the first token that two similar sets share, no more than that one and the smaller rest can be
+    shared.
     """
     columns = ["grp", "side", "root", "node", "n", "pos", *WORDS]
     dealt = in_blocks(rows, block).join(prints, "node").select(*columns).repartition("grp").sortWithinPartitions("grp", "node")
@@ -185,7 +186,7 @@ def candidates(rows: DataFrame, prints: DataFrame, spanning: bool, block: int =
             sized = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * PERCENT
             return sized & (np.minimum(n[i] - pos[i], n[j] - pos[j]) * (100 + PERCENT) >= (n[i] + n[j]) * PERCENT)
 
-        got = block_links(keys, np.stack(words, axis=1), RADIUS, root, side, allowed, spanning)
+        got = block_links(keys, np.stack(words, axis=1), RADIUS, root, side, allowed, thin)
         x, y = node[got[:, 0]], node[got[:, 1]]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(got[:, 2], pa.int32())], ["a", "b", "d"])
 
@@ -262,10 +263,12 @@ def shingle_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     classes = marks.groupBy("node").agg(F.min("doc_id").alias("least"))
     prints = marks.groupBy("node").agg(*[F.first(c).alias(c) for c in WORDS])  # travels with rows of shared grams alone
     shared = cut(shared_grams(marks))
-    links = cut(similar(docs, candidates(shared.withColumn("root", F.col("node")), prints, True, block).select("a", "b")))
-    placed = rooted(shared, star_components(links))
-    mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    links = joined(docs, links, cut(candidates(placed.join(mixed, "token", "left_semi"), prints, False, block)))
+    links = cut(similar(docs, candidates(shared.withColumn("root", F.col("node")), prints, "forest", block).select("a", "b")))
+    for thin in ("nearest", ""):
+        shared = rooted(shared, star_components(links))
+        mixed = shared.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
+        shared = cut(shared.join(mixed, "token", "left_semi"))
+        links = joined(docs, links, cut(candidates(shared, prints, thin, block)))
     heads = cut(rooted(classes.select("node", "least"), star_components(links)))
     named = heads.join(heads.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
     return marks.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")

@@ -26,6 +26,8 @@ from .components import star_components
 PIECE = 1 << 16
 #: Fingerprints in a block of bit planes, and links of a block that are held before they are thinned out.
 BLOCK, HELD = 4096, 1 << 20
+#: Links of a row that are kept where only the nearest are.
+NEAREST = 4
 QUARTERS = list(itertools.combinations(range(4), 2))
 BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.int64)
 
@@ -102,11 +104,11 @@ def exceeding(counter: list[int], radius: int, valid: int) -> int:
     return above
 
 
-def block_links(keys: np.ndarray, fps: np.ndarray, radius: int, root: np.ndarray | None = None, sides: np.ndarray | None = None, allowed=None, spanning: bool = True) -> np.ndarray:
+def block_links(keys: np.ndarray, fps: np.ndarray, radius: int, root: np.ndarray | None = None, sides: np.ndarray | None = None, allowed=None, thin: str = "forest") -> np.ndarray:
     """Rows (i, j, distance) of equal key and different root within the radius; rows come sorted by key.
 
-    Spanning: of all links those of a least spanning forest over the roots, so a large group gives one for each
-    row at most, not each pair. sides: only rows of different sides are compared, where they aren't 0.
+    thin: "forest" gives, of all links, those of a least spanning forest over the roots, so a large group gives one for
+    each row at most, not each pair; "nearest" those to the NEAREST rows of each row; "" all. sides: only rows of different sides are compared, where they aren't 0.
     allowed(i, j) drops further pairs.
     """
     n = len(fps)
@@ -128,10 +130,20 @@ def block_links(keys: np.ndarray, fps: np.ndarray, radius: int, root: np.ndarray
             at = at[allowed(at, at + shift)]
         held.append(np.stack([at, at + shift, np.bitwise_count(raw[at] ^ raw[at + shift]).sum(axis=1)], axis=1).astype(np.int32))
         size += len(at)
-        if spanning and size > HELD:
-            held = [forest(np.concatenate(held), root)]
+        if thin and size > HELD:
+            held = [THIN[thin](np.concatenate(held), root)]
             size = len(held[0])
-    return forest(np.concatenate(held), root) if spanning else np.concatenate(held)
+    return THIN[thin](np.concatenate(held), root) if thin else np.concatenate(held)
+
+
+def nearest(links: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """The links (i, j, distance) that are among the NEAREST of either end; ties by place."""
+    keep, ends = np.zeros(len(links), bool), np.concatenate([links[:, 0], links[:, 1]])
+    order = np.lexsort((np.concatenate([links[:, 1], links[:, 0]]), np.tile(links[:, 2], 2), ends))
+    begin = np.flatnonzero(np.diff(ends[order], prepend=-1))
+    rank = np.arange(len(order)) - np.repeat(begin, np.diff(begin, append=len(order)))
+    keep[order[rank < NEAREST] % max(1, len(links))] = True
+    return links[keep]
 
 
 def forest(links: np.ndarray, root: np.ndarray) -> np.ndarray:
@@ -157,6 +169,9 @@ def forest(links: np.ndarray, root: np.ndarray) -> np.ndarray:
     return np.array(out, np.int32).reshape(-1, 3)
 
 
+THIN = {"forest": forest, "nearest": nearest}
+
+
 def by_group(batches, block: int, work):
     """Calls work with arrays of about a block of rows at a time; the rows come sorted by the first column, whose values are never parted."""
     held, n = [], 0
