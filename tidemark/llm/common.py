@@ -124,7 +124,7 @@ def per_batch(df: DataFrame, columns: list[str], schema: str, fn: Callable[...,
     return df.select(*columns).mapInArrow(typed(run, schema), schema)
 
 
-def slices(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that the decoded part stays small however long the texts are."""
     rows = max(1, int(batch.num_rows * most / max(1, batch.nbytes)))
     for i in range(0, batch.num_rows, rows):
