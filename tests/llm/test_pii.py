@@ -145,6 +145,14 @@ def test_table_as_python_patterns(spark, small):
     assert pii.collisions(pii.replace_pii(df)).count() == 0
 
 
+def test_the_guard_passes_over_nothing(docs_of):
+    beside = ["", "a", "z ", "é", "9", "(", '"', "-", "王", "A"]
+    texts = [f"{b}{e}{a}" for es in PLANTED.values() for e in es for b in beside for a in ("", " ", ".")] + [f'{b}token="abcdefgh"' for b in beside]
+    bare = pii.PATTERN.removeprefix(pii.GUARD)
+    df = docs_of(texts).select(*[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(n) for n, p in (("guarded", pii.PATTERN), ("bare", bare))])
+    assert df.where("guarded <> bare").count() == 0 and df.where("size(bare) > 0").count() > len(texts) // 2
+
+
 def test_edges(docs_of):
     df = docs_of([*EDGES, (None, "8.8.8.8"), (1, "8.8.8.8")])
     out = pii.replace_pii(df)

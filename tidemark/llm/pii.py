@@ -53,11 +53,13 @@ KINDS = {
     "phone": r"\+\d{1,3}[ \-.]?\(?\d{2,4}\)?(?:[ \-.]?\d{2,4}){2,3}(?!\d)|(?<![\d\w])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])|(?<![\w.\-])0\d{2,4} \d{3,4} \d{3,4}(?![\w\-])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d.\w])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?![\d\w])",
-    "name": rf"(?<![\p{{L}}])(?:(?:{SALUTE})\.? {WORD}(?: (?:\p{{Lu}}\. )?{WORD})?|(?:{NAMES}) (?:\p{{Lu}}\. )?{WORD})(?![\p{{L}}])",
+    "name": rf"(?=\p{{Lu}}|г-)(?<![\p{{L}}])(?:(?:{SALUTE})\.? {WORD}(?: (?:\p{{Lu}}\. )?{WORD})?|(?:{NAMES}) (?:\p{{Lu}}\. )?{WORD})(?![\p{{L}}])",
 }
 #: Found in a text only by what stands beside it; the kind of such an entity is told by its form.
 BESIDE = [rf"(?<=[\"'])(?<=(?i:{ASSIGNED})[\"']{{0,1}} {{0,2}}[:=] {{0,2}}[\"'])[^\"'\s]{{8,400}}(?=[\"'])", f"[{HAN_SURNAMES}][一-鿿]{{1,2}}(?=先生|女士|小姐)"]
-PATTERN = "|".join(f"(?:{p})" for p in [*KINDS.values(), *BESIDE])
+#: After a small ASCII letter no pattern can begin but at these characters: most places of a text are passed over by one look.
+GUARD = rf"(?:(?<![a-z])|(?=[\d+{HAN_SURNAMES}]))"
+PATTERN = GUARD + "(?:" + "|".join(f"(?:{p})" for p in [*KINDS.values(), *BESIDE]) + ")"
 ROUNDS = 6
 
 
