@@ -21,7 +21,7 @@ def uniqueness(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """One row: rows, distinct keys, excess rows, keys with conflicting rows. Counts combine before each shuffle."""
     digest = F.sha2(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}), 256)
     groups = df.groupBy(*keys, digest.alias("_h")).agg(F.count("*").alias("_n")).groupBy(*keys).agg(F.sum("_n").alias("_n"), F.count("*").alias("_kinds"))
-    return groups.agg(F.sum("_n").alias("n_rows"), F.count("*").alias("distinct_keys"), F.sum(F.col("_n") - 1).alias("excess_rows"), F.count_if(F.col("_kinds") > 1).alias("conflicting_keys"))
+    return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.count("*").alias("distinct_keys"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("excess_rows"), F.count_if(F.col("_kinds") > 1).alias("conflicting_keys"))
 
 
 def occurrence_counts(pages: DataFrame, keys: list[str]) -> DataFrame:
