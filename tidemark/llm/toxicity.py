@@ -10,10 +10,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SAMPLE_BYTES, collect_sample, fold, labelled_sample, per_batch
+from .common import SAMPLE_BYTES, collect_sample, fold, labelled_sample, per_batch, slices
 
 BITS = 20
 #: ASCII letters in lower case; all other ASCII but digits and the apostrophe parts words.
@@ -144,16 +145,11 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, ma
 
 
 def filter_rows(docs: DataFrame, keep) -> DataFrame:
-    """Rows whose text keep() accepts, all columns as they were."""
-    import pyarrow as pa
+    """Rows whose text keep() accepts, all columns as they were; only texts go to Python, and only verdicts come back."""
 
-    from .common import slices
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array) -> pa.Array:
+        parts = [keep(part.column(0).to_pylist()) for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]))]
+        return pa.array(np.concatenate([np.zeros(0, bool), *parts]))
 
-    at = docs.columns.index("text")
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch):
-                yield part.filter(pa.array(np.asarray(keep(part.column(at).to_pylist()), bool)))
-
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(kept("text"))
