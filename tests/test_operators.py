@@ -327,3 +327,11 @@ def test_folded(spark):
     got = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", "t", scalar.folded("t").alias("f")).collect()
     wrong = [(r["t"], r["f"]) for r in got if r["f"] != (r["t"].casefold() if r["t"] is not None else None)]
     assert not wrong, wrong[:20]
+
+
+def test_counts_of_an_empty_table_are_zero(spark):
+    from tidemark.operators import bars, semantics
+
+    none = spark.createDataFrame([], "k long, v long")
+    assert tuple(bars.conversion_report(none, ["k"], ["k", "v"]).first()) == (0, 0, 0, 0, 0)
+    assert tuple(semantics.uniqueness(none, ["k"], ["v"]).first()) == (0, 0, 0, 0)

@@ -46,5 +46,6 @@ def bar_issues(ticker: str, o: str, h: str, low: str, c: str, volume: str, time:
 def conversion_report(df: DataFrame, keys: list[str], required: list[str]) -> DataFrame:
     """One row about a delivered file: rows, tickers, duplicate excess, nulls in required columns, sessions seen."""
     groups = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[count_true(F.col(c).isNull()).alias(f"_null_{c}") for c in required if c not in keys])
-    nulls = [F.sum(f"_null_{c}").alias(f"{c}_nulls") if c not in keys else F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_n"))), F.lit(0)).alias(f"{c}_nulls") for c in required]
-    return groups.agg(F.sum("_n").alias("n_rows"), F.count("*").alias("n_keys"), F.sum(F.col("_n") - 1).alias("duplicate_excess"), *nulls)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    nulls = [total(F.when(F.col(c).isNull(), F.col("_n")) if c in keys else F.col(f"_null_{c}")).alias(f"{c}_nulls") for c in required]
+    return groups.agg(total("_n").alias("n_rows"), F.count("*").alias("n_keys"), total(F.col("_n") - 1).alias("duplicate_excess"), *nulls)
