@@ -12,12 +12,13 @@ from ..functions.scalar import is_trimmed_text, on_grid, order_key
 def ohlc(df: DataFrame, keys: list[str], time: str, tie: str, price: str, high: str | None = None, low: str | None = None, close: str | None = None, volume: str | None = None) -> DataFrame:
     """First open, highest high, lowest low, last close by (time, tie), and counts; one shuffle, hashed together before it.
 
-    time: a timestamp or a long; tie: a long.
+    time: a timestamp or a long; tie: a long. A null price is no open and no close, its row counts.
     """
-    order = order_key(time, tie, dict(df.dtypes)[time])
+    key = order_key(time, tie, dict(df.dtypes)[time])
+    order = lambda c: F.when(F.col(c).isNotNull(), key)
     out = [
-        F.min_by(price, order).alias("open"), F.max(high or price).alias("high"), F.min(low or price).alias("low"),
-        F.max_by(close or price, order).alias("close"), F.count("*").alias("n_bars"),
+        F.min_by(price, order(price)).alias("open"), F.max(high or price).alias("high"), F.min(low or price).alias("low"),
+        F.max_by(close or price, order(close or price)).alias("close"), F.count("*").alias("n_bars"),
     ]
     if volume:
         out.append(F.coalesce(F.sum(volume), F.lit(0)).alias("volume"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,25 +47,25 @@ def daily_coverage(universe: DataFrame, minute: DataFrame, day: str = "session_d
 # --- audits ---------------------------------------------------------------------------------------------------
 
 
-def minute_day_audit(minute: DataFrame, day_bars: DataFrame, calendar: DataFrame, absolute: float = 1e-6, relative: float = 1e-6) -> DataFrame:
+def minute_day_audit(minute: DataFrame, day_bars: DataFrame, calendar: DataFrame, absolute: float = 1e-6, relative: float = 1e-6, bad: Callable[..., Column] = P.bad_prices) -> DataFrame:
     """One row a session: pairs, one-sided tickers, field mismatches, tickers without regular bars, coverage status.
 
-    minute: session_date, ticker, window_start, prices, volume, transactions; day_bars the same by day. Rows with a price
-    that isn't positive and finite are left out of the rebuild, duplicates fall to their first in a total order. Prices
-    come from regular hours, volume from the whole day.
+    minute: session_date, ticker, window_start, prices, volume, transactions; day_bars the same by day. Rows whose prices
+    are `bad` (by default not positive and finite) are left out of the rebuild, duplicates fall to their first in a total
+    order. Prices come from regular hours, volume from the whole day; a null price is no open and no close.
     """
     fields = [*PRICES, "volume", "transactions"]
-    good = minute.where(~P.bad_prices(*PRICES))
+    good = minute.where(~bad(*PRICES))
     once = dedupe.keep_first(good, ["session_date", "ticker", "window_start"], [*PRICES, "volume", "transactions"])
     hours = calendar.select("session_date", "open_ns", "close_ns")
     rows = once.join(F.broadcast(hours), "session_date")
     regular = P.in_window("window_start", "open_ns", "close_ns")
-    order = F.when(regular, F.col("window_start"))
+    order = lambda c: F.when(regular & F.col(c).isNotNull(), F.col("window_start"))
     derived = rows.groupBy("session_date", "ticker").agg(
-        F.min_by("open", order).alias("open"), F.max(F.when(regular, F.col("high"))).alias("high"), F.min(F.when(regular, F.col("low"))).alias("low"), F.max_by("close", order).alias("close"),
+        F.min_by("open", order("open")).alias("open"), F.max(F.when(regular, F.col("high"))).alias("high"), F.min(F.when(regular, F.col("low"))).alias("low"), F.max_by("close", order("close")).alias("close"),
         F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume"), F.coalesce(F.sum("transactions"), F.lit(0)).alias("transactions"), F.count_if(regular).alias("regular_bars"),
     )
-    official = dedupe.keep_first(day_bars.where(~P.bad_prices(*PRICES)), ["session_date", "ticker"], fields)
+    official = dedupe.keep_first(day_bars.where(~bad(*PRICES)), ["session_date", "ticker"], fields)
     both = reconcile.full_compare(derived, official, ["session_date", "ticker"], fields, ("minute", "day")).join(derived.select("session_date", "ticker", "regular_bars"), ["session_date", "ticker"], "left")
     out = both.groupBy("session_date").agg(
         P.count_true(F.col("in_minute") & F.col("in_day")).alias("pairs"), P.count_true(F.col("in_minute") & ~F.col("in_day")).alias("minute_only"), P.count_true(F.col("in_day") & ~F.col("in_minute")).alias("day_only"),
