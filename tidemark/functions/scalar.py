@@ -170,6 +170,20 @@ def ratio(top: str | Column, bottom: str | Column, empty: float | None = None) -
     return out if empty is None else F.coalesce(out, F.lit(empty))
 
 
+def plain_ratio(top: str | Column, bottom: str | Column) -> Column:
+    """top / bottom by the rules of doubles: over 0 (of either sign) infinite, 0 / 0 not a number; null only where one is null."""
+    x, y = col(top).cast("double"), col(bottom).cast("double")
+    return F.when(y == 0, x * float("inf")).otherwise(F.try_divide(x, y))
+
+
+def rounded(x: str | Column, places: int) -> Column:
+    """The double scaled, rounded half away from 0 and scaled back, as SQL engines round doubles; F.round rounds the
+    shortest decimal text instead, which falls to the other side of some halves."""
+    x, scale = col(x).cast("double"), F.lit(10.0**places)
+    out = F.round(x * scale) / scale
+    return F.when(F.abs(out) == float("inf"), x).otherwise(out)
+
+
 def on_grid(ns: str | Column, step: int = 60_000_000_000) -> Column:
     return F.pmod(col(ns), F.lit(step)) == 0
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.scalar import plain_ratio
+
 #: What a factor returns, in order.
 OUTPUT = (("signal_date", "date"), ("asset_id", "string"), ("raw_value", "double"))
 
@@ -46,9 +48,10 @@ def split_factor(df: DataFrame, asset: str, day: str, split_from: str, split_to:
 
 
 def momentum(df: DataFrame, asset: str, day: str, price: str, sessions: int = 20) -> DataFrame:
+    """Return over `sessions` rows, a plain ratio: on a price of 0 infinite or not a number, null only without a price."""
     order = W.partitionBy(asset).orderBy(day)
     past = F.lag(price, sessions).over(order)
-    return df.select(F.col(day).alias("signal_date"), F.col(asset).cast("string").alias("asset_id"), F.when(past > 0, F.col(price) / past - 1).alias("raw_value"))
+    return df.select(F.col(day).alias("signal_date"), F.col(asset).cast("string").alias("asset_id"), (plain_ratio(price, past) - 1).alias("raw_value"))
 
 
 def reversal(df: DataFrame, asset: str, day: str, price: str, sessions: int = 5) -> DataFrame:
