@@ -34,11 +34,14 @@ class FactorSpec:
         return out.select(*[F.col(c).cast(k).alias(c) for c, k in OUTPUT])
 
 
-def link_returns(df: DataFrame, asset: str, day: str, price: str, dividend: str | None = None, split: str | None = None) -> DataFrame:
-    """Adds link_return of each session on the last one: (price * split + dividend) / previous price - 1."""
+def link_returns(df: DataFrame, asset: str, day: str, price: str, dividend: str | None = None, split: str | None = None, plain: bool = False) -> DataFrame:
+    """Adds link_return of each session on the last one: (price * split + dividend) / previous price - 1.
+
+    Null unless the previous price is positive; with plain, the ratio as doubles have it: infinite or not a number on 0.
+    """
     prev = F.lag(price).over(W.partitionBy(asset).orderBy(day))
     value = F.col(price) * (F.coalesce(split, F.lit(1.0)) if split else F.lit(1.0)) + (F.coalesce(dividend, F.lit(0.0)) if dividend else F.lit(0.0))
-    return df.withColumn("link_return", F.when(prev > 0, value / prev - 1))
+    return df.withColumn("link_return", plain_ratio(value, prev) - 1 if plain else F.when(prev > 0, value / prev - 1))
 
 
 def split_factor(df: DataFrame, asset: str, day: str, split_from: str, split_to: str) -> DataFrame:
